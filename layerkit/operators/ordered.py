@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerkit.operators.rowid import ROW_ID, with_row_id
-from layerkit.session import checkpoint_dir
+from layerkit.sources.scratch import settle
 
 GROUP_ROWS = 5_000_000
 SINGLE_TASK_ROWS = 1_000_000
@@ -60,13 +60,12 @@ def sliced_number(
     df: DataFrame, order_by: Sequence[str], name: str, from_files: bool = False, slices: int | None = None
 ) -> DataFrame:
     """Dense 1..N numbers in the given order, from evenly sized sorted slices."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     if slices is None:
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         slices = max(width, df.count() // SLICE_ROWS)
     order = [F.col(c).asc_nulls_first() for c in order_by]
-    ranged = (
+    # Range bounds are sampled per job: write the slices before counting them.
+    ranged, _ = settle(
         with_row_id(df, from_files)
         .repartitionByRange(slices, *order, ROW_ID)
         .sortWithinPartitions(*order, ROW_ID)
@@ -77,8 +76,6 @@ def sliced_number(
             }
         )
         .drop(ROW_ID)
-        # Range bounds are sampled per job: fix the slices before counting them.
-        .checkpoint()
     )
     # One row per slice, so neither the window nor the broadcast can grow.
     before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)

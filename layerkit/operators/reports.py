@@ -118,4 +118,4 @@ def enforce(report: DataFrame) -> DataFrame:
     if failed:
         lines = [f"{r['subject']} {r['check']}: expected {r['expected']}, found {r['actual']}" for r in failed]
         raise CheckFailed("; ".join(lines))
-    return report.sparkSession.createDataFrame(rows, report.schema)
+    return static_report(report.sparkSession, [(r["check"], r["subject"], r["expected"], r["actual"]) for r in rows])

@@ -6,24 +6,22 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerkit.session import settle
+from layerkit.sources.scratch import settle
 
 ROW_ID = "__row"
 
 
 def with_row_id(df: DataFrame, from_files: bool = False) -> DataFrame:
-    """Add a struct that names each row and is the same in every pass.
+    """Add a struct of file and position that names each row in every pass.
 
-    ``from_files`` says that ``df`` only projects or filters a Parquet scan; its
-    rows are then named by file and position, which no change of split size or
-    cluster width can alter. Anything else is settled first, because row numbers
-    handed out during a recomputed shuffle could differ from pass to pass.
+    ``from_files`` says that ``df`` only projects or filters a Parquet scan.
+    Anything else is written first: numbers handed out while a shuffle is
+    recomputed, or split differently, could change from pass to pass.
     """
-    if from_files:
-        try:
-            file = F.xxhash64("_metadata.file_path").alias("file")
-            return df.withColumn(ROW_ID, F.struct(file, F.col("_metadata.row_index").alias("at")))
-        except AnalysisException:
-            pass
-    at = F.monotonically_increasing_id().alias("at")
-    return settle(df).withColumn(ROW_ID, F.struct(F.lit(0).cast("long").alias("file"), at))
+    if not from_files:
+        return with_row_id(settle(df)[0], from_files=True)
+    file = F.xxhash64("_metadata.file_path").alias("file")
+    try:
+        return df.withColumn(ROW_ID, F.struct(file, F.col("_metadata.row_index").alias("at")))
+    except AnalysisException:  # not Parquet after all
+        return with_row_id(df)

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from layerkit.functions import join_reasons
 from layerkit.operators.rowid import ROW_ID, with_row_id
 from layerkit.schemas import REASON_COLUMN, REASON_SEPARATOR
-from layerkit.session import sized
+from layerkit.session import concurrently
+from layerkit.sources.scratch import sized
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,10 @@ class RowRule:
     reason: str
     bad: Column
 
-    def attach(self, df: DataFrame, tag: str) -> tuple[DataFrame, Column]:
+    def find(self, df: DataFrame, tag: str) -> DataFrame | None:
+        return None
+
+    def mark(self, df: DataFrame, found: DataFrame | None, tag: str) -> tuple[DataFrame, Column]:
         return df, self.bad
 
 
@@ -44,19 +48,21 @@ class FirstCopyRule:
     keys: tuple[str, ...]
     order_by: tuple[str, ...]
 
-    def attach(self, df: DataFrame, tag: str) -> tuple[DataFrame, Column]:
+    def find(self, df: DataFrame, tag: str) -> DataFrame | None:
+        """Repeated keys, each with its first row."""
         first = F.min(F.struct(*self.order_by, F.col(ROW_ID).alias("row")))
-        repeated = sized(
+        return sized(
             df.groupBy(*[F.col(k).alias(f"{tag}_{k}") for k in self.keys])
             .agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
             .filter("n > 1")
             .select(*[f"{tag}_{k}" for k in self.keys], F.col("first.row").alias(f"{tag}_row"))
         )
+
+    def mark(self, df: DataFrame, found: DataFrame | None, tag: str) -> tuple[DataFrame, Column]:
         same = F.lit(True)
         for key in self.keys:
-            same = same & df[key].eqNullSafe(repeated[f"{tag}_{key}"])
-        marked = df.join(repeated, same, "left")
-        return marked, F.col(f"{tag}_row") != F.col(ROW_ID)
+            same = same & df[key].eqNullSafe(found[f"{tag}_{key}"])
+        return df.join(found, same, "left"), F.col(f"{tag}_row") != F.col(ROW_ID)
 
 
 @dataclass(frozen=True)
@@ -68,11 +74,14 @@ class KnownKeyRule:
     reference: DataFrame
     reference_column: str
 
-    def attach(self, df: DataFrame, tag: str) -> tuple[DataFrame, Column]:
+    def find(self, df: DataFrame, tag: str) -> DataFrame | None:
+        """Keys in use that the reference lacks."""
         known = self.reference.select(F.col(self.reference_column).alias(f"{tag}_key"))
         present = df.select(F.col(self.column).alias(f"{tag}_key")).filter(F.col(f"{tag}_key").isNotNull())
-        unknown = sized(present.distinct().join(known, f"{tag}_key", "left_anti"))
-        marked = df.join(unknown, df[self.column] == unknown[f"{tag}_key"], "left")
+        return sized(present.distinct().join(known, f"{tag}_key", "left_anti"))
+
+    def mark(self, df: DataFrame, found: DataFrame | None, tag: str) -> tuple[DataFrame, Column]:
+        marked = df.join(found, df[self.column] == found[f"{tag}_key"], "left")
         return marked, F.col(f"{tag}_key").isNotNull()
 
 
@@ -90,13 +99,20 @@ def evaluate(
 
     All rules see the same rows: the first copy of a key is chosen before the
     other rules apply, so a key whose first copy is invalid keeps no valid row.
+    A row id that ``df`` already carries is used and left out of the result.
     """
-    work = with_row_id(df, from_files) if any(isinstance(r, FirstCopyRule) for r in rules) else df
+    work = df
+    if ROW_ID not in df.columns and any(isinstance(r, FirstCopyRule) for r in rules):
+        work = with_row_id(df, from_files)
+    tagged = [(f"__rule{position}", rule) for position, rule in enumerate(rules)]
+    source = work
+    found = concurrently(lambda item: item[1].find(source, item[0]), tagged)
     flags = []
-    for position, rule in enumerate(rules):
-        work, bad = rule.attach(work, f"__rule{position}")
+    for (tag, rule), exceptions in zip(tagged, found):
+        work, bad = rule.mark(work, exceptions, tag)
         flags.append(F.when(bad, F.lit(rule.reason)))
-    return work.select(*df.columns, join_reasons(flags, separator).alias(into))
+    kept = [c for c in df.columns if c != ROW_ID]
+    return work.select(*kept, join_reasons(flags, separator).alias(into))
 
 
 def not_in(column: str, allowed: Sequence[object]) -> Column:

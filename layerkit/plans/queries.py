@@ -34,7 +34,7 @@ from layerkit.operators.reports import (
 )
 from layerkit.operators.rules import FirstCopyRule, KnownKeyRule, RowRule, Rule, evaluate, not_in
 from layerkit.operators.scd2 import build_versions, overlapping, version_as_of, version_on
-from layerkit.operators.star import DIM_ACCOUNT, DIM_BRANCH, DIM_CUSTOMER, DIM_DATE, build_dimension, build_fact, resolve_transactions
+from layerkit.operators.star import DIM_ACCOUNT, DIM_BRANCH, DIM_CUSTOMER, DIM_DATE, DIMENSIONS, build_dimension, build_fact, resolve_transactions
 from layerkit.plans import medallion
 from layerkit.plans.views import LINE_CURRENCIES, LINE_ORDER, PROCESSED_AT, RUN_ID, SYSTEM, Views, oracle
 from layerkit.schemas import (
@@ -52,7 +52,7 @@ from layerkit.schemas import (
     YEAR_COLUMN,
     required_values,
 )
-from layerkit.session import scratch_path
+from layerkit.session import concurrently, scratch_path
 from layerkit.sources.readers import read_csv, read_layer, source_ready
 from layerkit.sources.writers import write_csv, write_layer
 
@@ -587,7 +587,8 @@ def dimension(v: Views, spec) -> DataFrame:
 
 
 def dimensions(v: Views) -> dict[str, DataFrame]:
-    return {d.name: dimension(v, d) for d in (DIM_CUSTOMER, DIM_ACCOUNT, DIM_BRANCH, DIM_DATE)}
+    built = concurrently(lambda d: dimension(v, d), DIMENSIONS)
+    return {d.name: df for d, df in zip(DIMENSIONS, built)}
 
 
 @query("dim_customer", "SELECT customer_sk, customer_id, effective_from, effective_to, is_current, customer_segment FROM dim_customer")
@@ -653,7 +654,7 @@ def orphans_anti(v: Views) -> DataFrame:
 def fact(v: Views) -> DataFrame:
     """Valid order lines with the surrogate keys of their day."""
     accounts = v.accounts
-    evaluated = evaluate(v.source("transactions"), medallion.transaction_rules(accounts, RUN))
+    evaluated = evaluate(v.named_transactions, medallion.transaction_rules(accounts, RUN))
     valid, _ = route(evaluated, RUN.at)
     dims = dimensions(v)
     resolved = resolve_transactions(valid, dims["dim_account"], dims["dim_date"], dims["dim_branch"], dims["dim_customer"])
@@ -767,7 +768,7 @@ def stored_gold(v: Views) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
     for name, df in dimensions(v).items():
         write_layer(df, layout.dimension(name))
         dims[name] = v.spark.read.parquet(layout.dimension(name))
-    evaluated = evaluate(v.source("transactions"), medallion.transaction_rules(v.accounts, RUN))
+    evaluated = evaluate(v.named_transactions, medallion.transaction_rules(v.accounts, RUN))
     write_layer(route(evaluated, RUN.at)[0], layout.silver("transactions"))
     source = v.spark.read.parquet(layout.silver("transactions"))
     resolved = resolve_transactions(source, dims["dim_account"], dims["dim_date"], dims["dim_branch"], dims["dim_customer"])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from layerkit.functions import audited, change_hash, coded, date_key
 from layerkit.operators.calendar import calendar, even_schedule
+from layerkit.operators.rowid import ROW_ID, with_row_id
 
 LINE_ORDER = ("transaction_timestamp", "part_id", "account_id", "amount", "currency")
 LINE_CURRENCIES = ("A", "N")
@@ -207,8 +208,18 @@ class Views:
     @cached_property
     def transactions(self) -> DataFrame:
         """Order lines booked on the customer's account, with defects."""
+        return self._booked(self.table("lineitem"))
+
+    @cached_property
+    def named_transactions(self) -> DataFrame:
+        """The same with audit columns and the stored position of each line.
+
+        A line meets one order, so its position still names one row.
+        """
+        return audited(self._booked(with_row_id(self.table("lineitem"), from_files=True), ROW_ID), RUN_ID, SYSTEM, PROCESSED_AT)
+
+    def _booked(self, lines: DataFrame, *keep: str) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        lines = self.table("lineitem")
         joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
         amount = (
             F.when(F.col("l_quantity") == 13, F.lit(None))
@@ -229,6 +240,7 @@ class Views:
             currency.otherwise("EUR").alias("currency"),
             F.when(F.col("l_linestatus") == "F", "PAYMENT").otherwise("TRANSFER").alias("transaction_type"),
             F.when(F.col("l_linenumber") < 4, "ONLINE").otherwise("BRANCH").alias("channel"),
+            *keep,
         )
 
     @cached_property

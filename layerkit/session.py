@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
+
+Item = TypeVar("Item")
+Result = TypeVar("Result")
 
 # UTC keeps date arithmetic stable; static overwrite makes a full refresh drop
 # partitions that are missing from the new data; AQE splits skewed join keys.
@@ -18,8 +23,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
-# Key rows carry a handful of narrow columns, so this stays near 100 MB.
-BROADCAST_ROWS = 1_000_000
+CONCURRENT_JOBS = 4
 
 
 def build_session(app_name: str, log_level: str = "WARN", **conf: str) -> SparkSession:
@@ -50,17 +54,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in shared storage so later reads see the same rows."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def sized(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Settle a join side, measure it, and broadcast it only when it is small.
-
-    Above the bound the side is returned without a hint and joins by shuffle,
-    where adaptive execution splits skewed keys.
-    """
-    settled = settle(df)
-    return F.broadcast(settled) if settled.count() <= broadcast_rows else settled
+def concurrently(work: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
+    """Results of independent jobs, which share the cluster while they run."""
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        return list(pool.map(work, items))
