@@ -23,7 +23,7 @@ from layerkit.operators.reports import (
 from layerkit.operators.rules import not_in
 from layerkit.operators.scd2 import holds_on, overlapping
 from layerkit.operators.star import DIMENSIONS, FACT, Dimension
-from layerkit.schemas import ALLOWED_CURRENCIES, AUDIT_COLUMNS, FOREIGN_KEYS, GOLD_STAMP, ForeignKey, contract
+from layerkit.schemas import ALLOWED_CURRENCIES, AUDIT_COLUMNS, FOREIGN_KEYS, GOLD_STAMP, REASON_COLUMN, REASON_SEPARATOR, ForeignKey, contract
 
 
 def _except(df: DataFrame, known: Column) -> DataFrame:
@@ -108,6 +108,19 @@ def clean_transactions(
     )
 
 
+def expected_reasons(
+    quarantined: DataFrame, key: str, wanted: Mapping[object, Sequence[str]], subject: str = "quarantine", reason: str = REASON_COLUMN
+) -> DataFrame:
+    """Each listed id is held for each of its reasons; one pass for all of them."""
+    parts = F.split(F.col(reason), f"\\{REASON_SEPARATOR}")
+    held = {
+        f"{identity} {name}": (F.lit(1), F.max(((F.col(key) == identity) & F.array_contains(parts, name)).cast("int")))
+        for identity, names in wanted.items()
+        for name in names
+    }
+    return one_pass(quarantined, subject, held)
+
+
 def referential_integrity(
     tables: Mapping[str, DataFrame],
     edges: Iterable[ForeignKey] = FOREIGN_KEYS,

@@ -25,3 +25,17 @@ def with_row_id(df: DataFrame, from_files: bool = False) -> DataFrame:
         return df.withColumn(ROW_ID, F.struct(file, F.col("_metadata.row_index").alias("at")))
     except AnalysisException:  # not Parquet after all
         return with_row_id(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores.
+
+    A file with few row groups would keep all later work on few cores. Such
+    input is small, so one shuffle is cheap; larger scans are returned as is.
+    Rows are placed by their position, which is even whatever their values.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    named = df if ROW_ID in df.columns else with_row_id(df, from_files=True)
+    return named.repartition(cores, ROW_ID).select(*df.columns)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerkit.functions import join_reasons
-from layerkit.operators.rowid import ROW_ID, with_row_id
+from layerkit.operators.rowid import ROW_ID, spread, with_row_id
 from layerkit.schemas import REASON_COLUMN, REASON_SEPARATOR
 from layerkit.session import concurrently
 from layerkit.sources.scratch import sized
@@ -103,7 +103,7 @@ def evaluate(
     """
     work = df
     if ROW_ID not in df.columns and any(isinstance(r, FirstCopyRule) for r in rules):
-        work = with_row_id(df, from_files)
+        work = spread(with_row_id(df, from_files))
     tagged = [(f"__rule{position}", rule) for position, rule in enumerate(rules)]
     source = work
     found = concurrently(lambda item: item[1].find(source, item[0]), tagged)

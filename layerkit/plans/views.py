@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from layerkit.functions import audited, change_hash, coded, date_key
 from layerkit.operators.calendar import calendar, even_schedule
-from layerkit.operators.rowid import ROW_ID, with_row_id
+from layerkit.operators.rowid import ROW_ID, spread, with_row_id
 
 LINE_ORDER = ("transaction_timestamp", "part_id", "account_id", "amount", "currency")
 LINE_CURRENCIES = ("A", "N")
@@ -96,7 +96,7 @@ class Views:
     def shipments(self) -> DataFrame:
         """Lines with the customer of their order."""
         orders = self.table("orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"))
-        lines = self.table("lineitem").select(
+        lines = spread(self.table("lineitem")).select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("ship_day")
         )
         return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey")
@@ -208,7 +208,7 @@ class Views:
     @cached_property
     def transactions(self) -> DataFrame:
         """Order lines booked on the customer's account, with defects."""
-        return self._booked(self.table("lineitem"))
+        return self._booked(spread(self.table("lineitem")))
 
     @cached_property
     def named_transactions(self) -> DataFrame:
@@ -216,7 +216,8 @@ class Views:
 
         A line meets one order, so its position still names one row.
         """
-        return audited(self._booked(with_row_id(self.table("lineitem"), from_files=True), ROW_ID), RUN_ID, SYSTEM, PROCESSED_AT)
+        lines = spread(with_row_id(self.table("lineitem"), from_files=True))
+        return audited(self._booked(lines, ROW_ID), RUN_ID, SYSTEM, PROCESSED_AT)
 
     def _booked(self, lines: DataFrame, *keep: str) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 import bank
 from layerkit.layout import Layout
-from layerkit.operators import checks
+from layerkit.operators import checks, star
 from layerkit.operators.quarantine import reasons_by_id
 from layerkit.operators.reports import CheckFailed
 from layerkit.plans import medallion
-from layerkit.schemas import TABLES, business_columns, contract
+from layerkit.schemas import DUPLICATE, INVALID_CURRENCY, NEGATIVE_AMOUNT, TABLES, business_columns, contract
 from layerkit.sources.readers import read_csv, source_ready
 from layerkit.sources.writers import write_csv, write_layer
 
@@ -56,6 +56,28 @@ def test_defects_end_in_quarantine_with_their_reasons(spark, lake):
     assert {"data_quality_reason", "quarantined_at"} <= set(aside.columns)
 
 
+def test_expected_reasons_are_reported(spark, lake):
+    aside = spark.read.parquet(lake[0].quarantine("transactions"))
+    wanted = {4: [DUPLICATE], 8: [NEGATIVE_AMOUNT, INVALID_CURRENCY], 6: [DUPLICATE]}
+    report = checks.expected_reasons(aside, "transaction_id", wanted)
+    assert {r["check"]: r["ok"] for r in report.collect()} == {
+        f"4 {DUPLICATE}": True, f"8 {NEGATIVE_AMOUNT}": True, f"8 {INVALID_CURRENCY}": True, f"6 {DUPLICATE}": False
+    }
+
+
+def test_bucketed_resolution_gives_the_same_fact(spark, lake, monkeypatch):
+    layout, _ = lake
+    sides = medallion._fact_sides(medallion.read_dimensions(spark, layout))
+    source = spark.read.parquet(layout.silver("transactions"))
+    plain = star.resolve_transactions(source, *sides).select(*star.FACT_COLUMNS)
+    monkeypatch.setattr(star, "VERSIONS_PER_KEY", 0)
+    bucketed = star.resolve_transactions(source, *sides).select(*star.FACT_COLUMNS)
+    assert sorted(plain.collect()) == sorted(bucketed.collect())
+    assert star.resolve_transactions(source, *sides, on_unresolved="drop").count() == 5
+    with pytest.raises(ValueError):
+        star.resolve_transactions(source, *sides, on_unresolved="guess")
+
+
 def test_columns_of_each_layer(spark, lake):
     layout, _ = lake
     bronze = spark.read.parquet(layout.bronze("transactions"))
@@ -79,18 +101,25 @@ def test_versions_close_the_gap_and_facts_use_their_day(spark, lake):
     assert {r["transaction_id"]: r["customer_sk"] for r in fact.collect()} == {1: 1, 2: 3, 3: 1, 4: 1, 5: 2}
 
 
-def test_second_run_changes_nothing(spark, lake):
+def test_second_run_from_csv_extracts_changes_nothing(spark, lake, folder):
     layout, _ = lake
     before = sorted(spark.read.parquet(layout.fact("fact_transaction")).collect())
-    medallion.run_all(spark, layout, bank.reader, RUN)
+    for name in TABLES:
+        write_csv(bank.table(spark, name), f"{folder}/{name}.csv")
+    read = lambda s, t: read_csv(s, f"{folder}/{t}.csv", contract(t))
+    medallion.run_all(spark, layout, read, RUN)
     assert sorted(spark.read.parquet(layout.fact("fact_transaction")).collect()) == before
 
 
-def test_transaction_before_the_first_version_fails_the_fact_stage(spark, folder):
-    early = [(1, date(2025, 3, 1), None, True, "F", "L", "e", "1", "RETAIL", 1, "AZ"), *bank.ROWS["customer_history"][1:]]
-    read = lambda s, t: bank.table(s, t, early if t == "customer_history" else None)
-    with pytest.raises(CheckFailed, match="null_customer_sk"):
-        medallion.run_all(spark, Layout(folder), read, RUN)
+def test_transaction_before_the_first_version_fails_the_suite(spark, lake):
+    layout, _ = lake
+    dims = medallion.read_dimensions(spark, layout)
+    late = dims["dim_customer"].withColumn("effective_from", F.greatest("effective_from", F.lit(date(2025, 2, 1))))
+    dims = {**dims, "dim_customer": late.cache()}
+    source = spark.read.parquet(layout.silver("transactions"))
+    fact = star.build_fact(star.resolve_transactions(source, *medallion._fact_sides(dims)), bank.AT)
+    bad = {r["check"]: r["bad_rows"] for r in checks.fact_suite(fact, source, dims).filter(~F.col("ok")).collect()}
+    assert bad["null_customer_sk"] == 2 and bad["orphans"] == 2
 
 
 def test_empty_source_stops_the_run(spark, folder):
@@ -130,12 +159,3 @@ def test_source_checks_of_the_clean_bank(spark):
     assert {r["check"]: r["bad_rows"] for r in zero.collect()}["amount"] == 1
     full = checks.referential_integrity(tables)
     assert {r["subject"] for r in full.filter(~F.col("ok")).collect()} == {"transactions.account_id -> accounts.account_id"}
-
-
-def test_run_from_csv_extracts(spark, folder):
-    for name in TABLES:
-        write_csv(bank.table(spark, name), f"{folder}/csv/{name}.csv")
-    read = lambda s, t: read_csv(s, f"{folder}/csv/{t}.csv", contract(t))
-    layout = Layout(f"{folder}/lake")
-    medallion.run_all(spark, layout, read, RUN)
-    assert spark.read.parquet(layout.fact("fact_transaction")).count() == 5
