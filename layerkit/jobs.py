@@ -1,6 +1,6 @@
 """``spark-submit`` entry point: one stage or the whole run.
 
-    spark-submit layerkit/jobs.py all --root s3a://lake --jdbc-url jdbc:postgresql://... \\
+    spark-submit submit.py all --root s3a://lake --jdbc-url jdbc:postgresql://... \\
         --jdbc user=... --jdbc driver=org.postgresql.Driver --split transactions=transaction_id
 
 A secret belongs in a properties file, not on the command line: pass it to
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from layerkit.layout import Layout
 from layerkit.operators.reports import enforce
 from layerkit.plans import medallion
-from layerkit.session import build_session
 from layerkit.schemas import TABLES, contract
+from layerkit.session import build_session, drop_scratch
 from layerkit.sources.readers import JdbcSource, read_csv, source_ready
 
 STAGES = ("ready", "bronze", "silver", "dimensions", "fact", "validation", "all")
@@ -71,8 +71,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(f"layerkit-{args.stage}")
-    enforce(run(spark, args)).show(500, truncate=False)
-
-
-if __name__ == "__main__":
-    main()
+    try:
+        enforce(run(spark, args)).show(500, truncate=False)
+    finally:
+        drop_scratch(spark)

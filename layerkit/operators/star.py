@@ -14,6 +14,7 @@ from layerkit.operators.lookup import dimension_lookup
 from layerkit.operators.ordered import surrogate_key
 from layerkit.operators.scd2 import BUCKET_DAYS, VERSIONS_PER_KEY, build_versions, busiest_key, version_on
 from layerkit.schemas import GOLD_STAMP, business_columns
+from layerkit.sources.scratch import BROADCAST_ROWS
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ def account_versions(dim_account: DataFrame, dim_branch: DataFrame, dim_customer
     by account, instead of once per dimension.
     """
     accounts = dim_account.select("account_sk", "account_id", "customer_id", "branch_id")
-    with_branch = dimension_lookup(accounts, dim_branch, "branch_id", ["branch_sk"])
+    with_branch = dimension_lookup(accounts, dim_branch, "branch_id", ["branch_sk"], BROADCAST_ROWS)
     owners = dim_customer.select("customer_id", "customer_sk", "effective_from", "effective_to")
     return with_branch.join(owners, "customer_id")
 
@@ -94,7 +95,7 @@ def resolve_transactions(
     if on_unresolved not in ("keep", "drop"):
         raise ValueError(f"on_unresolved must be keep or drop, not {on_unresolved}")
     folded = account_versions(dim_account, dim_branch, dim_customer)
-    dated = dimension_lookup(transactions, dim_date, "date_key", ["date_sk", "full_date"])
+    dated = dimension_lookup(transactions, dim_date, "date_key", ["date_sk", "full_date"], BROADCAST_ROWS)
     wide = busiest_key(dim_customer, "customer_id") > VERSIONS_PER_KEY
     return version_on(
         dated,

@@ -54,6 +54,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's own folder below the checkpoint folder.
+
+    Call it when no result that reads intermediates is needed any more.
+    """
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder is not None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def concurrently(work: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
     """Results of independent jobs, which share the cluster while they run."""
     with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:

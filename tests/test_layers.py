@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import bank
+from layerkit import jobs
 from layerkit.layout import Layout
 from layerkit.operators import checks, star
 from layerkit.operators.quarantine import reasons_by_id
@@ -159,3 +160,24 @@ def test_source_checks_of_the_clean_bank(spark):
     assert {r["check"]: r["bad_rows"] for r in zero.collect()}["amount"] == 1
     full = checks.referential_integrity(tables)
     assert {r["subject"] for r in full.filter(~F.col("ok")).collect()} == {"transactions.account_id -> accounts.account_id"}
+
+
+def test_fact_is_shuffled_once(spark, lake):
+    """Without automatic broadcasts the wide side still moves only by account."""
+    layout, _ = lake
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sides = medallion._fact_sides(medallion.read_dimensions(spark, layout))
+        source = spark.read.parquet(layout.silver("transactions"))
+        plan = star.resolve_transactions(source, *sides)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert sum("account_id" in line for line in moved) == 1
+    assert not any("date_key" in line or "branch_id" in line for line in moved)
+
+
+def test_job_entry_point_runs_a_stage(spark, lake, capsys, monkeypatch):
+    monkeypatch.setattr(jobs, "drop_scratch", lambda _: None)
+    jobs.main(["validation", "--root", lake[0].root])
+    assert "different_version" in capsys.readouterr().out

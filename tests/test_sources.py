@@ -75,6 +75,7 @@ def test_malformed_csv_fails(spark, folder):
 def test_jdbc_options():
     source = JdbcSource("jdbc:x", {"user": "u"}, {"t": "id"}, partitions=8)
     assert source.options("s") == {"user": "u", "url": "jdbc:x", "dbtable": "s", "fetchsize": "10000"}
+    assert source.bounds_query("t") == "(SELECT min(id) AS low, max(id) AS high FROM t) AS bounds"
     split = source.split_options("t", 1, 90)
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "1", "90", "8")
 
