@@ -151,5 +151,6 @@ def test_reports(spark):
     assert missing_keys(df, "k", parent, "p", "t").first()["bad_rows"] == 3  # NULL keys are missing too
     empty = one_pass(df.filter("k > 9"), "t", {"s": (F.lit(0), F.sum("k")), "n": (F.sum("k"), F.count(F.lit(1)))})
     assert all(r["ok"] for r in empty.collect())
+    assert static_report(spark, []).count() == 0
     with pytest.raises(CheckFailed, match="s c: expected 1, found 2"):
         enforce(static_report(spark, [("c", "s", 1, 2)]))
