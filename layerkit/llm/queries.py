@@ -6,7 +6,8 @@ from layerkit.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from layerkit.llm.jaccard import op10_ngram_jaccard_join
 from layerkit.llm.mixing import OP1_SQL, op1_mixing
 from layerkit.llm.packing import op5_packing
+from layerkit.llm.quality_rules import op7_quality_rules
 from layerkit.llm.sharding import op2_sharding
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_sharding, op3_exact_dedup, op5_packing, op10_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_sharding, op3_exact_dedup, op5_packing, op7_quality_rules, op10_ngram_jaccard_join)}
 ORACLES = {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL}
