@@ -60,11 +60,11 @@ def text_chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and where each text's words begin."""
+def words(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _GAP) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and where each text's words begin; ``gap`` flags the bytes between."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_GAP[data]
+    inside = ~gap[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     edges = offsets[:-1][offsets[:-1] < len(data)]
