@@ -36,7 +36,7 @@ from layerkit.operators.rowid import with_row_id
 from layerkit.sources.scratch import settle
 
 CAP = 3
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 Schedule = Sequence[tuple[float, float]]
 # Knots (time, weight). The integrals are 5, 2 and 1: the heaviest sources lead
 # and fade, the lightest come up towards the end.
