@@ -8,7 +8,9 @@ approximate: each step only leaves out pairs that cannot link.
    that the size band gives. A band cuts the space of hashes into ``d + m``
    parts, so linked sets agree on ``m`` whole parts at least. A digest of each
    part is a key; sets that share no key cannot link. Sets that straddle the
-   edge of two bands meet under a scheme made for that edge.
+   edge of two bands meet under a scheme made for that edge. Shingles that a
+   sample finds common stay out of the parts, so a passage that many texts share
+   does not make them meet; they count in sizes and similarities as all others.
 3. Keys that two classes share tie them into candidate groups. Only classes in
    such a group are read again, each once. A group is cut into tiles of bounded
    size: by size band, then by salt, and blocks of neighbouring bands meet in
@@ -45,6 +47,9 @@ from layerkit.sources.scratch import settle
 # A tile's members weigh their shingles, 128 at least: 4,096 members or 4 MB of hashes.
 TILE_WEIGHT = 1 << 19
 MEMBER_WEIGHT = 128
+# A passage in about one text of 3,000 or more counts as common.
+SAMPLE_TEXTS = 10_000
+COMMON_TEXTS = 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -112,20 +117,38 @@ def _bounds(parts: int) -> np.ndarray:
     return np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
 
 
-def set_keys(found: np.ndarray, rule: Similarity) -> np.ndarray:
-    """Keys of a sorted set: a digest of each part, under each scheme of its size."""
+def _part_keys(found: np.ndarray, parts: int, tag: int) -> tuple[np.ndarray, np.ndarray]:
+    """A digest of each part of a sorted set, and which parts hold anything."""
     sums = np.zeros(len(found) + 1, np.uint64)
     np.cumsum(mix(found * _STEP), out=sums[1:])
+    edges = np.empty(parts + 1, np.int64)
+    edges[0], edges[-1] = 0, len(found)
+    edges[1:-1] = np.searchsorted(found, _bounds(parts))
+    place = np.arange(parts, dtype=np.uint64) + np.uint64(tag << 40)
+    return mix(sums[edges[1:]] - sums[edges[:-1]] + mix(place * _STEP)), edges[1:] > edges[:-1]
+
+
+def set_keys(found: np.ndarray, rule: Similarity, common: np.ndarray = np.zeros(0, np.uint64)) -> np.ndarray:
+    """Keys of a sorted set: a digest of each part, under each scheme of its size.
+
+    ``common`` lists shingles, sorted, that parts leave out. Linked sets still
+    differ in ``d`` of the others at most, so they agree on as many parts, and
+    texts that share but a passage no longer meet. A set that this leaves with
+    too many empty parts also gets the keys of its whole parts, and so does
+    whatever links with it and meets it in empty parts alone.
+    """
+    rare = found
+    if len(common) and len(found):
+        at = np.searchsorted(common, found)
+        at[at == len(common)] = 0
+        rare = found[common[at] != found]
     keys = []
     for scheme, parts, shared in schemes(len(found), rule):
-        edges = np.empty(parts + 1, np.int64)
-        edges[0], edges[-1] = 0, len(found)
-        edges[1:-1] = np.searchsorted(found, _bounds(parts))
-        digest = sums[edges[1:]] - sums[edges[:-1]]
-        place = np.arange(parts, dtype=np.uint64) + np.uint64(scheme << 40)
-        digest = mix(digest + mix(place * _STEP))
-        filled = edges[1:] > edges[:-1]
-        keys.append(digest if parts - np.count_nonzero(filled) >= shared else digest[filled])
+        digest, filled = _part_keys(rare, parts, 2 * scheme)
+        keys.append(digest[filled])
+        if parts - np.count_nonzero(filled) >= shared:
+            digest, filled = _part_keys(found, parts, 2 * scheme + 1)
+            keys.append(digest if parts - np.count_nonzero(filled) >= shared else digest[filled])
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
@@ -138,14 +161,35 @@ _SIGNED = pa.schema(
 )
 
 
-def _signer(rule: Similarity):
+def _listed(width: int):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, found in shingle_sets(batch.column("text"), width):
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["shingle"])
+
+    return read
+
+
+def common_shingles(rows: DataFrame, width: int) -> np.ndarray:
+    """Shingles that several of about ``SAMPLE_TEXTS`` texts hold, sorted.
+
+    They only steer which keys are made: any list gives the same links.
+    """
+    total = rows.count()
+    draw = F.pmod(F.xxhash64("file", "at"), F.lit(1_000_000)) < 1_000_000 * min(1.0, SAMPLE_TEXTS / max(1, total))
+    counted = mapped(rows.where(draw).select("text"), _listed(width), "shingle long").groupBy("shingle").count()
+    found = counted.where(F.col("count") >= COMMON_TEXTS).select("shingle").toArrow().column(0).to_numpy()
+    return np.sort(found.view(np.uint64))
+
+
+def _signer(rule: Similarity, common: np.ndarray):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ids, keys = [], [], []
             for _, found in shingle_sets(batch.column("text"), rule.width):
                 sizes.append(len(found))
                 ids.append(_digest(found))
-                keys.append(set_keys(found, rule).view(np.int64))
+                keys.append(set_keys(found, rule, common).view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
@@ -299,7 +343,7 @@ def similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
     together. ``component_id`` is the smallest doc_id among them.
     """
     rows = numbered(docs, "doc_id", "text")
-    signed, _ = settle(mapped(rows, _signer(rule), "file long, at long, doc_id long, size long, id long, keys array<long>"))
+    signed, _ = settle(mapped(rows, _signer(rule, common_shingles(rows, rule.width)), "file long, at long, doc_id long, size long, id long, keys array<long>"))
     counted = signed.where("size > 0").groupBy("id", "size").agg(
         F.min("doc_id").alias("least"), F.min(F.struct("file", "at")).alias("row")
     )

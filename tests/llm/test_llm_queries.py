@@ -311,6 +311,9 @@ def test_similar_sets_share_a_key(rule):
         if len(other) and not np.array_equal(found, other) and rule.links(common, len(found), len(other)):
             tried += 1
             assert set(jaccard.set_keys(found, rule)) & set(jaccard.set_keys(other, rule))
+            for share in (0.3, 0.8, 1.0):
+                common = found[draw.random(len(found)) < share]
+                assert set(jaccard.set_keys(found, rule, common)) & set(jaccard.set_keys(other, rule, common))
     assert tried > 50
 
 
