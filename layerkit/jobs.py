@@ -21,7 +21,7 @@ from layerkit.schemas import TABLES, contract
 from layerkit.session import build_session, drop_scratch
 from layerkit.sources.readers import JdbcSource, read_csv, source_ready
 
-STAGES = ("ready", "bronze", "silver", "dimensions", "fact", "validation", "all")
+STAGES = ("ready", "validate", "bronze", "silver", "dimensions", "fact", "validation", "all")
 SECRET_PREFIX = "spark.layerkit.jdbc."
 
 
@@ -63,6 +63,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     read = reader(spark, args)
     if args.stage == "ready":
         return source_ready(spark, TABLES, read)
+    if args.stage == "validate":
+        return medallion.validate(spark, read)
     if args.stage == "bronze":
         return medallion.bronze(spark, layout, read)
     return medallion.run_all(spark, layout, read)
@@ -72,6 +74,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(f"layerkit-{args.stage}")
     try:
-        enforce(run(spark, args)).show(500, truncate=False)
+        report = enforce(run(spark, args))
+        report.show(report.count(), truncate=False)
     finally:
         drop_scratch(spark)

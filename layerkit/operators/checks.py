@@ -23,7 +23,7 @@ from layerkit.operators.reports import (
 from layerkit.operators.rules import not_in
 from layerkit.operators.scd2 import holds_on, overlapping
 from layerkit.operators.star import DIMENSIONS, FACT, Dimension
-from layerkit.schemas import ALLOWED_CURRENCIES, AUDIT_COLUMNS, FOREIGN_KEYS, GOLD_STAMP, REASON_COLUMN, REASON_SEPARATOR, ForeignKey, contract
+from layerkit.schemas import ALLOWED_CURRENCIES, AUDIT_COLUMNS, FOREIGN_KEYS, GOLD_STAMP, PRIMARY_KEYS, REASON_COLUMN, REASON_SEPARATOR, ForeignKey, contract
 
 
 def _except(df: DataFrame, known: Column) -> DataFrame:
@@ -137,11 +137,38 @@ def referential_integrity(
     return union(parts)
 
 
+def primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] = PRIMARY_KEYS) -> DataFrame:
+    """Declared keys are unique; copies of a key combine before the shuffle."""
+    return union([unique(tables[name], name, columns, "primary_key") for name, columns in keys.items()])
+
+
+def source_validation(tables: Mapping[str, DataFrame], routed: str = "transactions") -> DataFrame:
+    """What must hold at the source before anything is copied.
+
+    Audit columns, NOT NULL columns, primary and foreign keys, owners' weights
+    and version history. Rows of ``routed`` answer to the quality rules later,
+    so their foreign keys are not checked here.
+    """
+    edges = [edge for edge in FOREIGN_KEYS if edge.child != routed]
+    bridge = weights_sum_to_one(tables["account_customer_bridge"])
+    return union(
+        [
+            audit_nulls(tables),
+            *[not_null(df, name) for name, df in tables.items()],
+            primary_keys(tables),
+            referential_integrity(tables, edges),
+            _count(bridge, "account_customer_bridge", "weights_sum_to_one"),
+            version_history(tables["customer_history"], "customer_id", "customer_history"),
+        ]
+    )
+
+
 def weights_sum_to_one(
     bridge: DataFrame, key: str = "account_id", weight: str = "allocation_weight", tolerance: float = 0.01
 ) -> DataFrame:
-    """Keys whose rounded weights do not add up to one."""
-    total = F.round(F.sum(F.col(weight).cast("decimal(18,6)")), 2)
+    """Keys whose rounded weights do not add up to one; NULL weights add nothing."""
+    added = F.coalesce(F.sum(F.col(weight).cast("decimal(18,6)")), F.lit(0).cast("decimal(18,6)"))
+    total = F.round(added, 2)
     return bridge.groupBy(key).agg(total.alias("total")).filter(F.abs(F.col("total") - 1) >= F.lit(tolerance).cast("decimal(4,2)"))
 
 

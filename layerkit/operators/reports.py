@@ -111,6 +111,13 @@ def union(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def settled(report: DataFrame) -> tuple[DataFrame, bool]:
+    """Run a report once: its rows, and whether all are ok. A report has a row per check."""
+    rows = report.collect()
+    values = [(r["check"], r["subject"], r["expected"], r["actual"]) for r in rows]
+    return static_report(report.sparkSession, values), all(r["ok"] for r in rows)
+
+
 def enforce(report: DataFrame) -> DataFrame:
     """Run a report once, raise if a check failed, and return its rows.
 

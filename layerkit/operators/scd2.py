@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from layerkit.operators.ordered import GROUP_ROWS, neighbour
 from layerkit.schemas import OPEN_END
 
-VERSIONS_PER_KEY = 64
 BUCKET_DAYS = 31
 
 
@@ -88,12 +87,12 @@ def version_on(
         condition = df[key] == side["__key"]
         left = df
     else:
-        last = df.agg(F.max(day)).first()[0]
+        first, last = df.agg(F.min(day), F.max(day)).first()
         period = lambda c: F.floor(F.unix_date(c) / F.lit(bucket_days))
         until = F.least(F.col("__to"), F.lit(last))  # skips NULL, so an open end reads as the last day
-        side = side.filter(F.col("__from") <= until).withColumn(
-            "__side", F.explode(F.sequence(period(F.col("__from")), period(until)))
-        )
+        # Both ends are held to the days asked for, whatever span a version has.
+        since = F.greatest(F.col("__from"), F.lit(first))
+        side = side.filter(since <= until).withColumn("__side", F.explode(F.sequence(period(since), period(until))))
         left = df.withColumn("__period", period(F.col(day)))
         condition = (left[key] == side["__key"]) & (left["__period"] == side["__side"])
     matched = left.join(side, condition & holds_on(left[day], side["__from"], side["__to"]), how)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from layerkit.functions import stamped
 from layerkit.operators.lookup import dimension_lookup
 from layerkit.operators.ordered import surrogate_key
-from layerkit.operators.scd2 import BUCKET_DAYS, VERSIONS_PER_KEY, build_versions, busiest_key, version_on
+from layerkit.operators.scd2 import build_versions, version_as_of
 from layerkit.schemas import GOLD_STAMP, business_columns
 from layerkit.sources.scratch import BROADCAST_ROWS
 
@@ -67,18 +67,6 @@ def build_dimension(
     return stamped(keyed.select(dimension.surrogate, *shown), GOLD_STAMP, at)
 
 
-def account_versions(dim_account: DataFrame, dim_branch: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """Each account with its branch and every version of its owner.
-
-    Folding the dimensions together first lets the fact rows be shuffled once,
-    by account, instead of once per dimension.
-    """
-    accounts = dim_account.select("account_sk", "account_id", "customer_id", "branch_id")
-    with_branch = dimension_lookup(accounts, dim_branch, "branch_id", ["branch_sk"], BROADCAST_ROWS)
-    owners = dim_customer.select("customer_id", "customer_sk", "effective_from", "effective_to")
-    return with_branch.join(owners, "customer_id")
-
-
 def resolve_transactions(
     transactions: DataFrame,
     dim_account: DataFrame,
@@ -89,23 +77,29 @@ def resolve_transactions(
 ) -> DataFrame:
     """Surrogate keys for each transaction, the owner's as of its calendar day.
 
+    Distinct (account, day) pairs meet the owner's versions in order of time, so
+    neither many versions nor many accounts of an owner multiply anything. The
+    wide rows then join their pair by equality: a busy account spreads over its
+    days. Versions must not overlap, as the dimension's own suite checks.
+
     ``keep`` leaves unresolved keys NULL for the guard to report, ``drop``
     leaves such rows out.
     """
     if on_unresolved not in ("keep", "drop"):
         raise ValueError(f"on_unresolved must be keep or drop, not {on_unresolved}")
-    folded = account_versions(dim_account, dim_branch, dim_customer)
-    dated = dimension_lookup(transactions, dim_date, "date_key", ["date_sk", "full_date"], BROADCAST_ROWS)
-    wide = busiest_key(dim_customer, "customer_id") > VERSIONS_PER_KEY
-    return version_on(
-        dated,
-        folded,
-        "account_id",
-        "full_date",
-        ["account_sk", "branch_sk", "customer_sk"],
-        how="left" if on_unresolved == "keep" else "inner",
-        bucket_days=BUCKET_DAYS if wide else None,
-    )
+    # Everything depends on the account and the day alone, so pairs are resolved once.
+    pairs = transactions.select("account_id", "date_key").distinct()
+    dated = dimension_lookup(pairs, dim_date, "date_key", ["date_sk", "full_date"], BROADCAST_ROWS)
+    accounts = dim_account.select("account_sk", "account_id", "customer_id", "branch_id")
+    with_branch = dimension_lookup(accounts, dim_branch, "branch_id", ["branch_sk"], BROADCAST_ROWS)
+    owned = dated.join(with_branch.drop("branch_id"), "account_id", "left")
+    found = version_as_of(owned, dim_customer, "customer_id", "full_date", ["customer_sk", "effective_to"], how="left")
+    holds = F.col("customer_sk").isNotNull() & (F.col("effective_to").isNull() | (F.col("full_date") <= F.col("effective_to")))
+    keys = [F.when(holds, F.col(c)).alias(c) for c in ("account_sk", "branch_sk", "customer_sk")]
+    found = found.select(F.col("account_id").alias("__account"), F.col("date_key").alias("__date"), "date_sk", "full_date", *keys)
+    same = F.col("account_id").eqNullSafe(F.col("__account")) & F.col("date_key").eqNullSafe(F.col("__date"))
+    resolved = transactions.join(found, same, "left").drop("__account", "__date")
+    return resolved if on_unresolved == "keep" else resolved.filter(F.col("customer_sk").isNotNull())
 
 
 def build_fact(resolved: DataFrame, at: datetime | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,8 +13,9 @@ from layerkit.functions import key_year, stamped
 from layerkit.functions.columns import run_time
 from layerkit.layout import Layout
 from layerkit.operators import checks
+from layerkit.operators.lookup import lookup_guard
 from layerkit.operators.quarantine import route
-from layerkit.operators.reports import column_rows, enforce, same_count, static_report, union
+from layerkit.operators.reports import column_rows, enforce, same_count, settled, static_report, union
 from layerkit.operators.rules import FirstCopyRule, KnownKeyRule, RowRule, Rule, evaluate, not_in
 from layerkit.operators.star import DIMENSIONS, FACT, build_dimension, build_fact, resolve_transactions
 from layerkit.schemas import (
@@ -34,7 +35,7 @@ from layerkit.schemas import (
 )
 from layerkit.session import concurrently
 from layerkit.sources.readers import read_layer, source_ready
-from layerkit.sources.writers import write_layer
+from layerkit.sources.writers import publish_if, write_layer
 
 Reader = Callable[[SparkSession, str], DataFrame]
 ROUTED = "transactions"
@@ -75,11 +76,11 @@ def bronze(
     def land(table: str) -> list[tuple[str, str, int, int]]:
         source = read(spark, table)
         landed = bronze_columns(source, table, run.at)
-        # The source count comes from the write, so the source is scanned once.
-        written = write_layer(landed, layout.bronze(table), [YEAR_COLUMN] if table == ROUTED else [])
-        stored = spark.read.parquet(layout.bronze(table))
+        write_layer(landed, layout.bronze(table), [YEAR_COLUMN] if table == ROUTED else [])
+        stored = spark.read.schema(landed.schema).parquet(layout.bronze(table))
         subject = f"bronze.{table}"
-        return [("row_count", subject, written, stored.count()), *column_rows(stored, subject, source.columns)]
+        # Counted at the source itself, so that rows lost on the way would show.
+        return [("row_count", subject, source.count(), stored.count()), *column_rows(stored, subject, source.columns)]
 
     report = static_report(spark, together(land, tables))
     if expected is None:
@@ -88,6 +89,11 @@ def bronze(
     return report.unionByName(checks.expectations(stored, f"bronze.{ROUTED}", expected))
 
 
+def validate(spark: SparkSession, read: Reader) -> DataFrame:
+    """Checks of the source that must hold before anything is copied."""
+    return checks.source_validation({table: read(spark, table) for table in TABLES}, ROUTED)
+
+
 def transaction_rules(accounts: DataFrame, run: Run = Run()) -> list[Rule]:
     """The five rules in the order their reasons are joined."""
     order = ("transaction_timestamp", "processed_at", *run.tie_break)
@@ -108,37 +114,57 @@ def _bronze_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
 def silver_plain(spark: SparkSession, layout: Layout, table: str, run: Run = Run()) -> list[tuple[str, str, int, int]]:
     """Pass a table on with a stamp; report that no row or column was lost."""
     source = _bronze_table(spark, layout, table)
-    written = write_layer(stamped(source, SILVER_STAMP, run.at), layout.silver(table))
-    stored = spark.read.parquet(layout.silver(table))
+    passed_on = stamped(source, SILVER_STAMP, run.at)
     subject = f"silver.{table}"
-    return [("row_count", subject, written, stored.count()), *column_rows(stored, subject, source.columns)]
 
+    def build(staged: dict[str, str]) -> DataFrame:
+        write_layer(passed_on, staged[layout.silver(table)])
+        stored = spark.read.schema(passed_on.schema).parquet(staged[layout.silver(table)])
+        rows = [("row_count", subject, source.count(), stored.count()), *column_rows(stored, subject, source.columns)]
+        return static_report(spark, rows)
+
+    report = publish_if(spark, [layout.silver(table)], build, settled)
+    return [(r["check"], r["subject"], r["expected"], r["actual"]) for r in report.collect()]
+
+
+def silver_routed(
+    spark: SparkSession, layout: Layout, run: Run = Run(), reasons: Mapping[object, Sequence[str]] | None = None
+) -> DataFrame:
+    """Evaluate the rules and write valid rows and quarantine, both or neither.
 
-def silver_routed(spark: SparkSession, layout: Layout, run: Run = Run()) -> DataFrame:
-    """Evaluate the rules and write valid rows and quarantine."""
+    ``reasons`` lists known bad ids with the reasons they must be held for.
+    """
     source = _bronze_table(spark, layout, ROUTED)
     accounts = read_layer(spark, layout.silver("accounts"), ["account_id"])
     evaluated = evaluate(source, transaction_rules(accounts, run), from_files=True)
     valid, quarantined = route(evaluated, run.at)
-    # Two passes over columnar files cost less than caching every wide row.
-    kept = write_layer(valid, layout.silver(ROUTED), [YEAR_COLUMN])
-    aside = write_layer(quarantined, layout.quarantine(ROUTED))
-    stored = spark.read.parquet(layout.silver(ROUTED))
-    held = spark.read.parquet(layout.quarantine(ROUTED))
-    total = source.count()
-    return union(
-        [
-            static_report(spark, [("routed_rows", ROUTED, total, kept + aside)]),
+
+    def build(staged: dict[str, str]) -> DataFrame:
+        good, bad = staged[layout.silver(ROUTED)], staged[layout.quarantine(ROUTED)]
+        # Two passes over columnar files cost less than caching every wide row.
+        kept = write_layer(valid, good, [YEAR_COLUMN])
+        aside = write_layer(quarantined, bad)
+        # With a schema, a table without any partition can be read too.
+        stored = spark.read.schema(valid.schema).parquet(good)
+        held = spark.read.schema(quarantined.schema).parquet(bad)
+        parts = [
+            static_report(spark, [("routed_rows", ROUTED, source.count(), kept + aside)]),
             same_count(ROUTED, source, stored, held, check="row_balance"),
             checks.clean_transactions(stored, accounts, allowed=run.allowed),
         ]
-    )
+        if reasons:
+            parts.append(checks.expected_reasons(held, "transaction_id", reasons))
+        return union(parts)
+
+    return publish_if(spark, [layout.silver(ROUTED), layout.quarantine(ROUTED)], build, settled)
 
 
-def silver(spark: SparkSession, layout: Layout, run: Run = Run()) -> DataFrame:
+def silver(
+    spark: SparkSession, layout: Layout, run: Run = Run(), reasons: Mapping[object, Sequence[str]] | None = None
+) -> DataFrame:
     """All plain tables, then the routed one, which needs the accounts."""
     plain = together(lambda table: silver_plain(spark, layout, table, run), PLAIN)
-    return static_report(spark, plain).unionByName(silver_routed(spark, layout, run))
+    return static_report(spark, plain).unionByName(silver_routed(spark, layout, run, reasons))
 
 
 def gold_dimensions(spark: SparkSession, layout: Layout, run: Run = Run()) -> DataFrame:
@@ -147,33 +173,53 @@ def gold_dimensions(spark: SparkSession, layout: Layout, run: Run = Run()) -> Da
         d.name: read_layer(spark, layout.silver(d.source), business_columns(d.source)) for d in DIMENSIONS
     }
 
-    def build(name: str) -> list[tuple[str, str, int, int]]:
-        dimension = next(d for d in DIMENSIONS if d.name == name)
-        write_layer(build_dimension(dimension, sources[name], run.at, from_files=True), layout.dimension(name))
-        return []  # the suites below compare counts
+    def build(staged: dict[str, str]) -> DataFrame:
+        def write(name: str) -> list[tuple[str, str, int, int]]:
+            dimension = next(d for d in DIMENSIONS if d.name == name)
+            made = build_dimension(dimension, sources[name], run.at, from_files=True)
+            write_layer(made, staged[layout.dimension(name)])
+            return []  # the suites below compare counts
+
+        together(write, sources)
+        stored = {name: spark.read.parquet(staged[layout.dimension(name)]) for name in sources}
+        parts = []
+        for dimension in DIMENSIONS:
+            suite = checks.version_suite if dimension.version_start else checks.dimension_suite
+            parts.append(suite(stored[dimension.name], dimension, sources[dimension.name]))
+        links = checks.dimension_links(stored["dim_account"], stored["dim_branch"], stored["dim_customer"])
+        return union([*parts, links])
 
-    together(build, sources)
-    stored = {name: spark.read.parquet(layout.dimension(name)) for name in sources}
-    parts = []
-    for dimension in DIMENSIONS:
-        suite = checks.version_suite if dimension.version_start else checks.dimension_suite
-        parts.append(suite(stored[dimension.name], dimension, sources[dimension.name]))
-    links = checks.dimension_links(stored["dim_account"], stored["dim_branch"], stored["dim_customer"])
-    return union([*parts, links])
+    return publish_if(spark, [layout.dimension(name) for name in sources], build, settled)
 
 
 def read_dimensions(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    return {d.name: read_layer(spark, layout.dimension(d.name), [d.surrogate, d.key]) for d in DIMENSIONS}
+    # What resolving a fact needs besides the keys.
+    needed = {
+        "dim_account": ["customer_id", "branch_id"], "dim_date": ["full_date"], "dim_customer": ["effective_from", "effective_to"]
+    }
+    return {
+        d.name: read_layer(spark, layout.dimension(d.name), [d.surrogate, d.key, *needed.get(d.name, [])]) for d in DIMENSIONS
+    }
 
 
 def gold_fact(spark: SparkSession, layout: Layout, run: Run = Run(), on_unresolved: str = "keep") -> DataFrame:
-    """Resolve and write the fact; unresolved keys fail its suite."""
+    """Resolve and write the fact.
+
+    Lookup guards and the suite run on the staged table. If one fails, the fact
+    that stood before stays.
+    """
     transactions = read_layer(spark, layout.silver(ROUTED), business_columns(ROUTED))
     dims = read_dimensions(spark, layout)
     resolved = resolve_transactions(transactions, *_fact_sides(dims), on_unresolved=on_unresolved)
-    write_layer(build_fact(resolved, run.at), layout.fact(FACT))
-    stored = spark.read.parquet(layout.fact(FACT))
-    return checks.fact_suite(stored, transactions, dims, run.allowed)
+
+    def build(staged: dict[str, str]) -> DataFrame:
+        write_layer(build_fact(resolved, run.at), staged[layout.fact(FACT)])
+        stored = spark.read.parquet(staged[layout.fact(FACT)])
+        rows = transactions.count() if on_unresolved == "keep" else stored.count()
+        guards = [lookup_guard(stored, rows, f"{FACT}.{key}", key) for key in ("account_sk", "date_sk", "branch_sk", "customer_sk")]
+        return union([*guards, checks.fact_suite(stored, transactions, dims, run.allowed)])
+
+    return publish_if(spark, [layout.fact(FACT)], build, settled)
 
 
 def _fact_sides(dims: dict[str, DataFrame]) -> Sequence[DataFrame]:
@@ -188,13 +234,23 @@ def gold_validation(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def run_all(
-    spark: SparkSession, layout: Layout, read: Reader, run: Run = Run(), expected: dict[str, tuple[Column, int]] | None = None
+    spark: SparkSession,
+    layout: Layout,
+    read: Reader,
+    run: Run = Run(),
+    expected: dict[str, tuple[Column, int]] | None = None,
+    reasons: Mapping[object, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Every stage in order; a failed report stops the run."""
+    """Every stage in order; a failed report stops the run.
+
+    ``expected`` counts known defects at the source, ``reasons`` says for what
+    known bad ids must end in quarantine.
+    """
     stages: list[tuple[str, Callable[[], DataFrame]]] = [
         ("ready", lambda: source_ready(spark, TABLES, read)),
+        ("validate", lambda: validate(spark, read)),
         ("bronze", lambda: bronze(spark, layout, read, run, expected=expected)),
-        ("silver", lambda: silver(spark, layout, run)),
+        ("silver", lambda: silver(spark, layout, run, reasons)),
         ("dimensions", lambda: gold_dimensions(spark, layout, run)),
         ("fact", lambda: gold_fact(spark, layout, run)),
         ("validation", lambda: gold_validation(spark, layout)),

@@ -389,8 +389,9 @@ def reasons(v: Views) -> DataFrame:
     return reason_counts(route(judged(v))[1])
 
 
-@query("reasons_by_id", "SELECT transaction_id, string_agg(DISTINCT data_quality_reason, ',' ORDER BY data_quality_reason) AS reasons, "
-       "count(*) AS \"rows\" FROM judged WHERE data_quality_reason <> '' GROUP BY 1")
+@query("reasons_by_id", "SELECT transaction_id, string_agg(r, ',' ORDER BY r) AS reasons, sum(n)::BIGINT AS \"rows\", "
+       "string_agg(r || '=' || n, ',' ORDER BY r || '=' || n) AS copies FROM (SELECT transaction_id, data_quality_reason AS r, count(*) AS n "
+       "FROM judged WHERE data_quality_reason <> '' GROUP BY 1, 2) AS t GROUP BY 1")
 def reasons_per_id(v: Views) -> DataFrame:
     return reasons_by_id(route(judged(v))[1], "transaction_id")
 

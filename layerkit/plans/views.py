@@ -10,7 +10,7 @@ import re
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerkit.functions import audited, change_hash, coded, date_key
@@ -162,12 +162,14 @@ class Views:
 
     @cached_property
     def customer_history(self) -> DataFrame:
+        """Contiguous periods; the last one of a customer is open and current."""
         key = F.col("customer_id")
+        following = F.lead("effective_from").over(Window.partitionBy("customer_id").orderBy("effective_from"))
         return self.history.select(
             key,
             "effective_from",
-            F.lit(None).cast("date").alias("effective_to"),
-            F.lit(False).alias("is_current"),
+            F.date_sub(following, 1).alias("effective_to"),
+            following.isNull().alias("is_current"),
             F.lit("Customer").alias("first_name"),
             coded("Customer#", 9, key).alias("last_name"),
             _email(key).alias("email"),
@@ -323,11 +325,11 @@ TWINS = {
         CAST(greatest(c_custkey % 551 + 280, 300) AS SMALLINT) AS credit_rating_previous,
         substr(sha256(concat_ws('|', c_mktsegment, 'c' || c_custkey || '@example.com',
             printf('%010d', c_custkey), CAST(c_custkey % 551 + 300 AS VARCHAR))), 1, 16) AS change_hash FROM customer""",
-    "customer_history": """SELECT customer_id, effective_from, CAST(NULL AS DATE) AS effective_to, FALSE AS is_current,
+    "customer_history": """SELECT customer_id, effective_from, effective_to, is_current,
         'Customer' AS first_name, printf('Customer#%09d', customer_id) AS last_name,
         'c' || customer_id || '@example.com' AS email, printf('%010d', customer_id) AS phone_number,
         customer_segment, CAST(customer_id % 551 + 300 AS SMALLINT) AS credit_rating,
-        'N' AS address_country FROM history""",
+        'N' AS address_country FROM versions""",
     "accounts": """SELECT c_custkey AS account_id, c_custkey AS customer_id, c_nationkey AS branch_id,
         CASE c_custkey % 4 WHEN 0 THEN 'CHECKING' WHEN 1 THEN 'SAVINGS' WHEN 2 THEN 'BUSINESS' ELSE 'LOAN' END
         AS account_type, 'ACTIVE' AS account_status,

@@ -23,6 +23,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Many small shuffle partitions at first; adaptive execution merges them.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000"}
+
 CONCURRENT_JOBS = 4
 
 
@@ -32,6 +35,10 @@ def build_session(app_name: str, log_level: str = "WARN", **conf: str) -> SparkS
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        for key, value in CLUSTER_SETTINGS.items():
+            if key not in conf:
+                spark.conf.set(key, value)
     spark.sparkContext.setLogLevel(log_level)
     return spark
 
@@ -42,7 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not context.master.startswith("local"):
+            # Executors of a local-cluster are processes of their own.
+            if context.master.startswith("local-cluster") or not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="layerkit-")
         context.setCheckpointDir(configured)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.schemas import DATE_FORMAT, TIMESTAMP_FORMAT
@@ -26,13 +27,49 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), incr
     return seen.get.get("rows", 0)
 
 
+def publish_if(
+    spark: SparkSession, paths: Sequence[str], build: Callable[[dict[str, str]], DataFrame], ok: Callable[[DataFrame], tuple[DataFrame, bool]]
+) -> DataFrame:
+    """Write tables beside their places, check them there, and swap them in if all is well.
+
+    ``build`` gets the staging path of each final path, writes there and returns
+    a report; ``ok`` runs the report. After a failed report, or an error, the
+    tables that stood before stand unchanged. Each swap is a delete and a rename
+    of one folder.
+    """
+    token = uuid.uuid4().hex
+    staged = {path: f"{path}__staged-{token}" for path in paths}
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        report, passed = ok(build(staged))
+        if passed:
+            for path, temporary in staged.items():
+                place, made = hadoop(path), hadoop(temporary)
+                files = made.getFileSystem(conf)
+                files.delete(place, True)
+                if not files.rename(made, place):
+                    raise OSError(f"cannot move {temporary} to {path}")
+        return report
+    finally:
+        for temporary in staged.values():
+            left = hadoop(temporary)
+            left.getFileSystem(conf).delete(left, True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Headed CSV; NULL becomes an empty field."""
+    """Headed CSV in the dialect of RFC 4180; NULL becomes an empty field.
+
+    Quotes are doubled and blanks kept. Timestamps are written to the second.
+    """
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("nullValue", "")
         .option("emptyValue", "")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", "UTF-8")
         .option("dateFormat", DATE_FORMAT)
         .option("timestampFormat", TIMESTAMP_FORMAT)

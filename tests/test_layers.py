@@ -1,6 +1,7 @@
 """The seeded-defect bank through every layer."""
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from layerkit import jobs
 from layerkit.layout import Layout
 from layerkit.operators import checks, star
 from layerkit.operators.quarantine import reasons_by_id
-from layerkit.operators.reports import CheckFailed
+from layerkit.operators.reports import CheckFailed, enforce, static_report
 from layerkit.plans import medallion
 from layerkit.schemas import DUPLICATE, INVALID_CURRENCY, NEGATIVE_AMOUNT, TABLES, business_columns, contract
 from layerkit.sources.readers import read_csv, source_ready
@@ -29,7 +30,8 @@ def lake(spark, tmp_path_factory):
         "orphan": ((identity == 7) & (F.col("account_id") == 999), 1),
         "bad_row": ((identity == 8) & (F.col("amount") == -50) & (F.col("currency") == "XXX"), 1),
     }
-    report = medallion.run_all(spark, layout, bank.reader, RUN, expected)
+    reasons = {4: [DUPLICATE], 6: ["NULL_AMOUNT"], 7: ["ORPHAN_ACCOUNT"], 8: [NEGATIVE_AMOUNT, INVALID_CURRENCY]}
+    report = medallion.run_all(spark, layout, bank.reader, RUN, expected, reasons)
     return layout, report
 
 
@@ -37,7 +39,7 @@ def test_every_check_of_every_stage_passes(lake):
     _, report = lake
     assert report.filter(~F.col("ok")).count() == 0
     assert {r["stage"] for r in report.select("stage").distinct().collect()} == {
-        "ready", "bronze", "silver", "dimensions", "fact", "validation"
+        "ready", "validate", "bronze", "silver", "dimensions", "fact", "validation"
     }
 
 
@@ -66,14 +68,65 @@ def test_expected_reasons_are_reported(spark, lake):
     }
 
 
-def test_bucketed_resolution_gives_the_same_fact(spark, lake, monkeypatch):
+def contents(spark, layout):
+    """Every file of the published silver and gold tables."""
+    tables = [layout.silver("transactions"), layout.quarantine("transactions"), layout.fact("fact_transaction"), layout.dimension("dim_customer")]
+    return {str(p): p.read_bytes() for t in tables for p in sorted(Path(t).rglob("*")) if p.is_file()}
+
+
+def test_a_failed_run_leaves_the_published_tables_as_they_were(spark, lake, monkeypatch):
+    layout, _ = lake
+    before = contents(spark, layout)
+    bad = lambda *_, **__: static_report(spark, [("planted", "failure", 0, 1)])
+    for suite, stage in (("fact_suite", medallion.gold_fact), ("clean_transactions", medallion.silver_routed), ("dimension_links", medallion.gold_dimensions)):
+        with monkeypatch.context() as patch:
+            patch.setattr(checks, suite, bad)
+            with pytest.raises(CheckFailed, match="planted"):
+                enforce(stage(spark, layout, RUN))
+        assert contents(spark, layout) == before
+    assert not [p for p in Path(layout.root).rglob("*__staged-*")]
+
+
+def test_a_lookup_that_finds_nothing_stops_the_fact(spark, lake, folder):
+    layout, _ = lake
+    other = Layout(folder)
+    used = spark.read.parquet(layout.silver("transactions")).first()["account_id"]
+    for d in star.DIMENSIONS:
+        df = spark.read.parquet(layout.dimension(d.name))
+        write_layer(df.filter(F.col("account_id") != used) if d.name == "dim_account" else df, other.dimension(d.name))
+    write_layer(spark.read.parquet(layout.silver("transactions")), other.silver("transactions"), ["transaction_year"])
+    bad = {r["subject"] for r in medallion.gold_fact(spark, other, RUN).filter("NOT ok AND check = 'unresolved'").collect()}
+    assert "fact_transaction.account_sk" in bad and not Path(other.fact("fact_transaction")).exists()
+
+
+@pytest.mark.parametrize("table, change", [("loan_lifecycle", lambda df: df.withColumn("account_id", F.lit(12345))), ("customers", lambda df: df.union(df))])
+def test_orphans_and_repeated_keys_stop_the_run_at_the_source(spark, folder, table, change):
+    read = lambda s, t: change(bank.table(s, t)) if t == table else bank.table(s, t)
+    with pytest.raises(CheckFailed, match=table):
+        medallion.run_all(spark, Layout(folder), read, RUN)
+    assert not Path(Layout(folder).bronze("accounts")).exists()
+
+
+def test_many_versions_and_accounts_of_one_owner(spark):
+    """Each row finds its version; nothing is expanded on the way."""
+    count = 200
+    days = spark.range(count).select(F.date_add(F.lit(date(2024, 1, 1)), F.col("id").cast("int")).alias("day"), "id")
+    dates = days.select(F.col("id").alias("date_sk"), F.col("id").cast("int").alias("date_key"), F.col("day").alias("full_date"))
+    owner = days.select((F.col("id") + 1).alias("customer_sk"), F.lit(7).alias("customer_id"), F.col("day").alias("effective_from"),
+                        F.when(F.col("id") < count - 1, F.col("day")).alias("effective_to"))
+    accounts = spark.range(count).select(F.col("id").alias("account_sk"), F.col("id").cast("int").alias("account_id"), F.lit(7).alias("customer_id"), (F.col("id") % 1 + 1).cast("int").alias("branch_id"))
+    branches = spark.createDataFrame([(1, 1)], "branch_sk LONG, branch_id INT")
+    rows = spark.range(count * 10).select("id", (F.col("id") % count).cast("int").alias("account_id"), (F.col("id") * 7 % count).cast("int").alias("date_key"))
+    found = star.resolve_transactions(rows, accounts, dates, branches, owner)
+    assert found.filter("customer_sk = date_key + 1 AND account_sk = account_id AND branch_sk = 1").count() == count * 10
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_unresolved_rows_are_kept_or_dropped(spark, lake):
     layout, _ = lake
     sides = medallion._fact_sides(medallion.read_dimensions(spark, layout))
     source = spark.read.parquet(layout.silver("transactions"))
-    plain = star.resolve_transactions(source, *sides).select(*star.FACT_COLUMNS)
-    monkeypatch.setattr(star, "VERSIONS_PER_KEY", 0)
-    bucketed = star.resolve_transactions(source, *sides).select(*star.FACT_COLUMNS)
-    assert sorted(plain.collect()) == sorted(bucketed.collect())
     assert star.resolve_transactions(source, *sides, on_unresolved="drop").count() == 5
     with pytest.raises(ValueError):
         star.resolve_transactions(source, *sides, on_unresolved="guess")
@@ -162,21 +215,6 @@ def test_source_checks_of_the_clean_bank(spark):
     assert {r["subject"] for r in full.filter(~F.col("ok")).collect()} == {"transactions.account_id -> accounts.account_id"}
 
 
-def test_fact_is_shuffled_once(spark, lake):
-    """Without automatic broadcasts the wide side still moves only by account."""
-    layout, _ = lake
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        sides = medallion._fact_sides(medallion.read_dimensions(spark, layout))
-        source = spark.read.parquet(layout.silver("transactions"))
-        plan = star.resolve_transactions(source, *sides)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
-    assert sum("account_id" in line for line in moved) == 1
-    assert not any("date_key" in line or "branch_id" in line for line in moved)
-
-
 def test_job_entry_point_runs_a_stage(spark, lake, capsys, monkeypatch):
     monkeypatch.setattr(jobs, "drop_scratch", lambda _: None)
     jobs.main(["validation", "--root", lake[0].root])

@@ -1,5 +1,6 @@
 """Scans, sinks and column expressions."""
 
+import csv
 import hashlib
 from datetime import date, datetime
 
@@ -66,6 +67,16 @@ def test_csv_keeps_nulls_quotes_and_commas(spark, folder):
     assert "2025-01-02T03:04:05Z" in text and "true" in text
 
 
+def test_csv_keeps_blanks_quotes_and_line_breaks(spark, folder):
+    schema = StructType.fromDDL("id INT, note STRING")
+    notes = ["  a  ", 'a "q", b', "two\nlines", 'end, "', "back\\slash", '\\"', "tab\t"]
+    write_csv(spark.createDataFrame(list(enumerate(notes)), schema), folder + "/c")
+    assert [r["note"] for r in read_csv(spark, folder + "/c", schema).orderBy("id").collect()] == notes
+    with open(f"{folder}/standard.csv", "w", newline="", encoding="utf-8") as out:
+        csv.writer(out).writerows([["id", "note"], *enumerate(notes)])
+    assert [r["note"] for r in read_csv(spark, f"{folder}/standard.csv", schema).orderBy("id").collect()] == notes
+
+
 def test_malformed_csv_fails(spark, folder):
     spark.createDataFrame([("x",)], "id STRING").write.option("header", True).csv(folder + "/c")
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST|cannot"):
@@ -133,13 +144,12 @@ def test_schedule_matches_positions_in_the_calendar(spark, times):
     accounts = spark.createDataFrame([(i, date(2025, 1, d)) for i, d in enumerate((1, 10, 28, 29, 31))] + [(9, date(2024, 5, 1))], "id INT, opened DATE")
     made = even_schedule(accounts, "opened", F.lit("2025-01-01"), F.lit(last), times, "day")
     found = sorted((r["id"], r["day"]) for r in made.collect())
-    expected = []
-    for row in accounts.collect():
-        eligible = [date(2025, 1, d) for d in range(1, 32) if date(2025, 1, d) >= row["opened"]]
-        if len(eligible) >= times:
-            spots = [int(i * (len(eligible) - 1) / (times - 1)) for i in range(times)] if times > 1 else [0]
-            expected += [(row["id"], eligible[s]) for s in spots]
-    assert found == sorted(expected)
+    # Evenly spread over the days left in the month; accounts with fewer days than dates get none.
+    by_hand = {
+        1: {0: [1], 1: [10], 2: [28], 3: [29], 4: [31], 9: [1]},
+        4: {0: [1, 11, 21, 31], 1: [10, 17, 24, 31], 2: [28, 29, 30, 31], 9: [1, 11, 21, 31]},
+    }
+    assert found == [(account, date(2025, 1, d)) for account, marks in by_hand[times].items() for d in marks]
 
 
 def test_reports(spark):
