@@ -21,10 +21,12 @@ from layerkit.operators.reports import (
     unique,
 )
 from layerkit.operators.rules import not_in
-from layerkit.operators.scd2 import holds_on, overlapping
+from layerkit.operators.scd2 import BUCKET_DAYS, holds_on, overlapping, version_on
 from layerkit.operators.star import DIMENSIONS, FACT, Dimension
 from layerkit.schemas import ALLOWED_CURRENCIES, AUDIT_COLUMNS, FOREIGN_KEYS, GOLD_STAMP, PRIMARY_KEYS, REASON_COLUMN, REASON_SEPARATOR, ForeignKey, contract
 
+from layerkit.sources.scratch import settle
+
 
 def _except(df: DataFrame, known: Column) -> DataFrame:
     """Rows outside ``known``; where it is NULL the row stays."""
@@ -240,6 +242,20 @@ def dimension_links(dim_account: DataFrame, dim_branch: DataFrame, dim_customer:
     )
 
 
+def counted_keys(fact: DataFrame) -> DataFrame:
+    """Rows ``n`` of the fact for each combination of its keys, written once.
+
+    Every check on keys reads this narrow table, so a busy account or customer
+    is counted before it is joined.
+    """
+    return settle(fact.groupBy(*[d.surrogate for d in DIMENSIONS]).agg(F.count(F.lit(1)).alias("n")))[0]
+
+
+def _null_keys(counted: DataFrame) -> DataFrame:
+    tests = {f"null_{d.surrogate}": (F.lit(0), F.sum(F.when(F.col(d.surrogate).isNull(), F.col("n")))) for d in DIMENSIONS}
+    return one_pass(counted, FACT, tests)
+
+
 def fact_suite(
     fact: DataFrame,
     source: DataFrame,
@@ -247,67 +263,78 @@ def fact_suite(
     allowed: Sequence[str] = ALLOWED_CURRENCIES,
     key: str = "transaction_id",
 ) -> DataFrame:
-    """Complete, unique, fully keyed, valid on its day, and clean."""
-    tests = {f"null_{d.surrogate}": F.col(d.surrogate).isNull() for d in DIMENSIONS}
-    tests |= {
+    """Complete, unique, fully keyed, valid on its day, and clean.
+
+    The fact is read three times: for its ids, its keys and its values.
+    """
+    counted = counted_keys(fact)
+    tests = {
         "null_amount": F.col("amount").isNull(),
         "negative_amount": F.col("amount") < 0,
         "currency": not_in("currency", allowed),
         "stamped": F.col(GOLD_STAMP).isNull(),
     }
     links = [
-        missing_keys(fact, d.surrogate, dims[d.name], d.surrogate, f"{FACT}.{d.surrogate} -> {d.name}")
+        missing_keys(counted, d.surrogate, dims[d.name], d.surrogate, f"{FACT}.{d.surrogate} -> {d.name}", weight="n")
         for d in DIMENSIONS
     ]
-    on_day = fact.select("date_sk", "customer_sk").join(dims["dim_date"].select("date_sk", "full_date"), "date_sk")
+    pairs = counted.groupBy("date_sk", "customer_sk").agg(F.sum("n").alias("n"))
+    on_day = pairs.join(dims["dim_date"].select("date_sk", "full_date"), "date_sk")
     versions = dims["dim_customer"].select("customer_sk", "effective_from", "effective_to")
     outside = ~holds_on(F.col("full_date"), F.col("effective_from"), F.col("effective_to"))
     return union(
         [
-            same_count(FACT, source, fact),
+            same_count(FACT, source, counted, weight="n"),
             unique(fact, FACT, [key]),
+            _null_keys(counted),
             none_of(fact, FACT, tests),
             *links,
-            none_of(on_day.join(versions, "customer_sk"), FACT, {"version_holds": outside}),
+            one_pass(
+                on_day.join(versions, "customer_sk"), FACT, {"version_holds": (F.lit(0), F.sum(F.when(outside, F.col("n"))))}
+            ),
         ]
     )
 
 
-def rederived_versions(fact: DataFrame, dims: Mapping[str, DataFrame], key: str = "transaction_id") -> DataFrame:
-    """Customer versions found again from natural keys, next to the stored ones."""
-    narrow = fact.select(key, "account_sk", "date_sk", F.col("customer_sk").alias("fact_customer_sk"))
-    # Accounts and versions are joined to each other first: one shuffle of the fact.
-    owners = dims["dim_account"].select("account_sk", "customer_id").join(
-        dims["dim_customer"].select("customer_id", "customer_sk", "effective_from", "effective_to"), "customer_id"
-    )
-    dated = narrow.join(dims["dim_date"].select("date_sk", "full_date"), "date_sk")
-    return dated.join(owners, "account_sk").filter(
-        holds_on(F.col("full_date"), F.col("effective_from"), F.col("effective_to"))
+def rederived_versions(counted: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Versions found again from natural keys for each owner, day and stored key.
+
+    ``n`` is the number of fact rows, ``found`` the versions that hold, and
+    ``different`` those among them that the fact does not name. Owners and days
+    are counted first; both they and the versions spread over periods of time.
+    """
+    accounts = dims["dim_account"].select("account_sk", "customer_id")
+    days = dims["dim_date"].select("date_sk", "full_date")
+    narrow = counted.groupBy("account_sk", "date_sk", F.col("customer_sk").alias("stored_sk")).agg(F.sum("n").alias("n"))
+    owned = narrow.join(days, "date_sk", "left").join(accounts, "account_sk", "left")
+    asked, _ = settle(owned.groupBy("customer_id", "full_date", "stored_sk").agg(F.sum("n").alias("n")))
+    matched = version_on(asked, dims["dim_customer"], "customer_id", "full_date", ["customer_sk"], how="left", bucket_days=BUCKET_DAYS)
+    return matched.groupBy("customer_id", "full_date", "stored_sk", "n").agg(
+        F.count("customer_sk").alias("found"), F.count_if(F.col("customer_sk") != F.col("stored_sk")).alias("different")
     )
 
 
 def fact_recheck(
     fact: DataFrame, source: DataFrame, dims: Mapping[str, DataFrame], key: str = "transaction_id"
 ) -> DataFrame:
-    """Independent recomputation: nothing unresolved, ambiguous or different."""
-    found = rederived_versions(fact, dims, key)
-    per_key = found.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("customer_sk") != F.col("fact_customer_sk")).alias("different")
-    )
-    rows = fact.select(F.count(F.lit(1)).alias("rows"), F.lit(0).alias("resolved"))
-    done = per_key.select(F.lit(0).cast("long").alias("rows"), F.count(F.lit(1)).alias("resolved"))
+    """Independent recomputation: nothing unresolved, ambiguous or different.
+
+    The fact is read twice: for its ids and for its keys.
+    """
+    counted = counted_keys(fact)
+    n = F.col("n")
     return union(
         [
-            same_count(FACT, source, fact),
+            same_count(FACT, source, counted, weight="n"),
             unique(fact, FACT, [key]),
-            none_of(fact, FACT, {f"null_{d.surrogate}": F.col(d.surrogate).isNull() for d in DIMENSIONS}),
-            one_pass(rows.unionByName(done), FACT, {"unresolved": (F.sum("rows"), F.sum("resolved"))}),
+            _null_keys(counted),
             one_pass(
-                per_key,
+                rederived_versions(counted, dims),
                 FACT,
                 {
-                    "ambiguous": (F.lit(0), F.count_if(F.col("n") > 1)),
-                    "different_version": (F.lit(0), F.sum("different")),
+                    "unresolved": (F.sum("n"), F.sum(F.when(F.col("found") > 0, n))),
+                    "ambiguous": (F.lit(0), F.sum(F.when(F.col("found") > 1, n))),
+                    "different_version": (F.lit(0), F.sum(n * F.col("different"))),
                 },
             ),
         ]

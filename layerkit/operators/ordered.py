@@ -16,37 +16,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerkit.operators.rowid import ROW_ID, with_row_id
-from layerkit.sources.scratch import settle
+from layerkit.sources.scratch import BROADCAST_ROWS, settle, sized
 
 GROUP_ROWS = 5_000_000
 SINGLE_TASK_ROWS = 1_000_000
 SLICE_ROWS = 2_000_000
-# A group below this share of the table is no larger than a core's usual load.
-GROUP_SHARE = 2000
 SAMPLE_ROWS = 500
 
 
-def heavy_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> list[int]:
-    """Hashes of the keys whose groups are too large for one task.
+def _named(df: DataFrame, from_files: bool) -> DataFrame:
+    """Rows with their identity, which breaks ties alike in every plan.
 
-    The answer only chooses a plan, so it may come from a sample: both plans
-    give the same rows. It holds at most about ``2 * GROUP_SHARE`` hashes.
+    What is not a plain scan is written here, so it is computed once only.
     """
-    total = df.count()
-    limit = max(group_rows, total // GROUP_SHARE)
-    if total <= limit:
-        return []
-    fraction = min(1.0, SAMPLE_ROWS / limit)
-    counted = df.select(F.xxhash64(*keys).alias("h")).sample(fraction, seed=11).groupBy("h").count()
-    return [row["h"] for row in counted.filter(F.col("count") > limit * fraction / 2).collect()]
+    return df if ROW_ID in df.columns else with_row_id(df, from_files)
+
+
+def _kept(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c != ROW_ID]
+
+
+def _order(order_by: Sequence[str]) -> list[Column]:
+    return [*[F.col(c).asc_nulls_first() for c in order_by], F.col(ROW_ID).asc()]
+
+
+def heavy_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame | None:
+    """Hashes ``__h`` of the keys whose groups are too large for one task.
+
+    The limit is the same at every size of the table. The answer only chooses a
+    plan, so it may come from a sample: both plans give the same rows. It is a
+    written table, broadcast if it measured small; None if no group is heavy.
+    """
+    if df.count() <= group_rows:
+        return None
+    fraction = min(1.0, SAMPLE_ROWS / group_rows)
+    counted = df.select(F.xxhash64(*keys).alias("__h")).sample(fraction, seed=11).groupBy("__h").count()
+    found, rows = settle(counted.filter(F.col("count") > group_rows * fraction / 2).select("__h"))
+    if not rows:
+        return None
+    return F.broadcast(found) if rows <= BROADCAST_ROWS else found
 
 
 def _split(df: DataFrame, keys: Sequence[str], group_rows: int) -> tuple[DataFrame, DataFrame | None]:
     heavy = heavy_groups(df, keys, group_rows)
-    if not heavy:
+    if heavy is None:
         return df, None
-    is_heavy = F.xxhash64(*keys).isin(heavy)
-    return df.filter(~is_heavy), df.filter(is_heavy)
+    hashed = df.withColumn("__h", F.xxhash64(*keys))
+    return hashed.join(heavy, "__h", "left_anti").drop("__h"), hashed.join(heavy, "__h", "left_semi").drop("__h")
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -60,15 +76,15 @@ def sliced_number(
     df: DataFrame, order_by: Sequence[str], name: str, from_files: bool = False, slices: int | None = None
 ) -> DataFrame:
     """Dense 1..N numbers in the given order, from evenly sized sorted slices."""
+    named = _named(df, from_files)
     if slices is None:
         width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = max(width, df.count() // SLICE_ROWS)
-    order = [F.col(c).asc_nulls_first() for c in order_by]
+        slices = max(width, named.count() // SLICE_ROWS)
+    order = _order(order_by)
     # Range bounds are sampled per job: write the slices before counting them.
     ranged, _ = settle(
-        with_row_id(df, from_files)
-        .repartitionByRange(slices, *order, ROW_ID)
-        .sortWithinPartitions(*order, ROW_ID)
+        named.repartitionByRange(slices, *order)
+        .sortWithinPartitions(*order)
         .withColumns(
             {
                 "__slice": F.spark_partition_id(),
@@ -98,11 +114,14 @@ def surrogate_key(
     from_files: bool = False,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Dense ``bigint`` key 1..N; one window when the table is known to be small."""
-    if df.count() > single_task_rows:
-        return sliced_number(df, order_by, name, from_files)
-    window = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return df.withColumn(name, F.row_number().over(window).cast("long"))
+    """Dense ``bigint`` key 1..N; one window when the table is known to be small.
+
+    Rows that tie are numbered by stored position, in the window and in slices.
+    """
+    named = _named(df, from_files)
+    if named.count() > single_task_rows:
+        return sliced_number(named, order_by, name)
+    return named.withColumn(name, F.row_number().over(Window.orderBy(*_order(order_by))).cast("long")).drop(ROW_ID)
 
 
 def rank_in_group(
@@ -113,18 +132,18 @@ def rank_in_group(
     from_files: bool = False,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """``row_number`` per key; NULL keys form one group."""
-    light, heavy = _split(df, keys, group_rows)
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    ranked = light.withColumn(name, F.row_number().over(window).cast("long"))
+    """``row_number`` per key; NULL keys form one group, ties follow stored position."""
+    light, heavy = _split(_named(df, from_files), keys, group_rows)
+    window = Window.partitionBy(*keys).orderBy(*_order(order_by))
+    ranked = light.withColumn(name, F.row_number().over(window).cast("long")).drop(ROW_ID)
     if heavy is None:
         return ranked
-    numbered = sliced_number(heavy, [*keys, *order_by], "__number", from_files)
+    numbered = sliced_number(heavy, [*keys, *order_by], "__number")
     # At most one row per heavy key, and heavy keys are few.
-    starts = numbered.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.min("__number").alias("__start"))
-    joined = numbered.join(F.broadcast(starts), _same(numbered, starts, [(k, f"__k_{k}") for k in keys]))
+    starts = sized(numbered.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.min("__number").alias("__start")))
+    joined = numbered.join(starts, _same(numbered, starts, [(k, f"__k_{k}") for k in keys]))
     return ranked.unionByName(
-        joined.select(*df.columns, (F.col("__number") - F.col("__start") + 1).alias(name))
+        joined.select(*_kept(df), (F.col("__number") - F.col("__start") + 1).alias(name))
     )
 
 
@@ -138,13 +157,16 @@ def neighbour(
     from_files: bool = False,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """``value`` of the row ``step`` places later (earlier if negative) in its group."""
-    light, heavy = _split(df, keys, group_rows)
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    near = light.withColumn(name, F.lead(value, step).over(window))
+    """``value`` of the row ``step`` places later (earlier if negative) in its group.
+
+    Rows that tie on the order follow stored position.
+    """
+    light, heavy = _split(_named(df, from_files), keys, group_rows)
+    window = Window.partitionBy(*keys).orderBy(*_order(order_by))
+    near = light.withColumn(name, F.lead(value, step).over(window)).drop(ROW_ID)
     if heavy is None:
         return near
-    numbered = sliced_number(heavy, [*keys, *order_by], "__number", from_files)
+    numbered = sliced_number(heavy, [*keys, *order_by], "__number")
     other = numbered.select(
         (F.col("__number") - step).alias("__match"),
         F.col(value).alias(name),
@@ -152,4 +174,4 @@ def neighbour(
     )
     same = _same(numbered, other, [(k, f"__k_{k}") for k in keys])
     joined = numbered.join(other, (numbered["__number"] == other["__match"]) & same, "left")
-    return near.unionByName(joined.select(*df.columns, name))
+    return near.unionByName(joined.select(*_kept(df), name))

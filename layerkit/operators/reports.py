@@ -60,10 +60,14 @@ def none_of(df: DataFrame, subject: str, bad: Mapping[str, Column]) -> DataFrame
     return one_pass(df, subject, {name: (F.lit(0), F.count_if(test)) for name, test in bad.items()})
 
 
-def same_count(subject: str, source: DataFrame, *targets: DataFrame, check: str = "row_count") -> DataFrame:
-    """Rows of the source equal the rows of all targets together."""
+def same_count(subject: str, source: DataFrame, *targets: DataFrame, check: str = "row_count", weight: str | None = None) -> DataFrame:
+    """Rows of the source equal the rows of all targets together.
+
+    ``weight`` names a column of the targets with the rows that each row stands for.
+    """
+    rows = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
     counts = [source.agg(F.count(F.lit(1)).alias("expected"), F.lit(0).cast("long").alias("actual"))]
-    counts += [t.agg(F.lit(0).cast("long").alias("expected"), F.count(F.lit(1)).alias("actual")) for t in targets]
+    counts += [t.agg(F.lit(0).cast("long").alias("expected"), rows.alias("actual")) for t in targets]
     total = union(counts).agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual"))
     return _finish(total.select(F.lit(check).alias("check"), F.lit(subject).alias("subject"), "expected", "actual"))
 
@@ -81,13 +85,21 @@ def unique(df: DataFrame, subject: str, keys: Sequence[str], check: str | None =
 
 
 def missing_keys(
-    child: DataFrame, column: str, parent: DataFrame, parent_column: str, subject: str, check: str = "orphans"
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    subject: str,
+    check: str = "orphans",
+    weight: str | None = None,
 ) -> DataFrame:
     """Child rows whose key has no parent; a NULL key counts as missing.
 
-    Keys are counted first, so the anti join sees each key once.
+    Keys are counted first, so the anti join sees each key once. ``weight``
+    names a column with the rows that each child row stands for.
     """
-    counted = child.groupBy(F.col(column).alias("__key")).agg(F.count(F.lit(1)).alias("n"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counted = child.groupBy(F.col(column).alias("__key")).agg(rows.alias("n"))
     known = parent.select(F.col(parent_column).alias("__key"))
     return one_pass(counted.join(known, "__key", "left_anti"), subject, {check: (F.lit(0), F.sum("n"))})
 

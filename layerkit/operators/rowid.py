@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from layerkit.sources.scratch import settle
 
 ROW_ID = "__row"
+SPREAD_ROWS = 10_000_000
 
 
 def with_row_id(df: DataFrame, from_files: bool = False) -> DataFrame:
@@ -30,12 +31,12 @@ def with_row_id(df: DataFrame, from_files: bool = False) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Redistribute a scan that has fewer splits than the cluster has cores.
 
-    A file with few row groups would keep all later work on few cores. Such
-    input is small, so one shuffle is cheap; larger scans are returned as is.
+    A file with few row groups would keep all later work on few cores. Up to
+    ``SPREAD_ROWS`` rows one shuffle is cheap; larger scans are returned as is.
     Rows are placed by their position, which is even whatever their values.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores or df.count() > SPREAD_ROWS:
         return df
     named = df if ROW_ID in df.columns else with_row_id(df, from_files=True)
     return named.repartition(cores, ROW_ID).select(*df.columns)

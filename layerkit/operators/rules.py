@@ -49,14 +49,21 @@ class FirstCopyRule:
     order_by: tuple[str, ...]
 
     def find(self, df: DataFrame, tag: str) -> DataFrame | None:
-        """Repeated keys, each with its first row."""
-        first = F.min(F.struct(*self.order_by, F.col(ROW_ID).alias("row")))
-        return sized(
-            df.groupBy(*[F.col(k).alias(f"{tag}_{k}") for k in self.keys])
-            .agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
-            .filter("n > 1")
-            .select(*[f"{tag}_{k}" for k in self.keys], F.col("first.row").alias(f"{tag}_row"))
-        )
+        """Repeated keys, each with its first row.
+
+        Keys alone are counted first, which hashes them; only rows of repeated
+        keys are put in order.
+        """
+        names = [f"{tag}_{k}" for k in self.keys]
+        keys = [F.col(k).alias(n) for k, n in zip(self.keys, names)]
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        repeated = sized(counted.select(*[F.col(n).alias(f"{n}_again") for n in names]))
+        same = F.lit(True)
+        for n in names:
+            same = same & F.col(n).eqNullSafe(F.col(f"{n}_again"))
+        rows = df.select(*keys, F.struct(*self.order_by, F.col(ROW_ID).alias("row")).alias("at"))
+        first = rows.join(repeated, same, "left_semi").groupBy(*names).agg(F.min("at").alias("first"))
+        return sized(first.select(*names, F.col("first.row").alias(f"{tag}_row")))
 
     def mark(self, df: DataFrame, found: DataFrame | None, tag: str) -> tuple[DataFrame, Column]:
         same = F.lit(True)
