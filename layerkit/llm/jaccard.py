@@ -11,6 +11,8 @@ approximate: each step only leaves out pairs that cannot link.
    edge of two bands meet under a scheme made for that edge. Shingles that a
    sample finds common stay out of the parts, so a passage that many texts share
    does not make them meet; they count in sizes and similarities as all others.
+   Keys are counted alone first. Only of shared keys is it asked whose they are,
+   by reading the texts once more: no table holds all keys.
 3. Keys that two classes share tie them into candidate groups. Only classes in
    such a group are read again, each once. A group is cut into tiles of bounded
    size: by size band, then by salt, and blocks of neighbouring bands meet in
@@ -40,13 +42,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm.common import BITMAP_BITS, components, key_bitmap, mapped, numbered, table, without_rows
+from layerkit.llm.common import BITMAP_BITS, components, key_bitmap, mapped, numbered, small_batches, table, without_rows
 from layerkit.llm.shingles import mix, shingle_sets
 from layerkit.sources.scratch import settle
 
 # A tile's members weigh their shingles, 128 at least: 4,096 members or 4 MB of hashes.
 TILE_WEIGHT = 1 << 19
 MEMBER_WEIGHT = 128
+BATCH_KEYS = 1 << 18
 # A passage in about one text of 3,000 or more counts as common.
 SAMPLE_TEXTS = 10_000
 COMMON_TEXTS = 3
@@ -156,11 +159,6 @@ def _digest(found: np.ndarray) -> int:
     return int(mix(mix(found ^ _STEP).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(found)))[0].astype(np.int64))
 
 
-_SIGNED = pa.schema(
-    [("file", pa.int64()), ("at", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int64()), ("id", pa.int64()), ("keys", pa.list_(pa.int64()))]
-)
-
-
 def _listed(width: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,19 +180,17 @@ def common_shingles(rows: DataFrame, width: int) -> np.ndarray:
     return np.sort(found.view(np.uint64))
 
 
-def _signer(rule: Similarity, common: np.ndarray):
+def _signer(width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, ids, keys = [], [], []
-            for _, found in shingle_sets(batch.column("text"), rule.width):
+            sizes, ids = [], []
+            for _, found in shingle_sets(batch.column("text"), width):
                 sizes.append(len(found))
                 ids.append(_digest(found))
-                keys.append(set_keys(found, rule, common).view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             same = [batch.column(c) for c in ("file", "at", "doc_id")]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), listed], schema=_SIGNED)
+            yield pa.RecordBatch.from_arrays(
+                [*same, pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=["file", "at", "doc_id", "size", "id"]
+            )
 
     return sign
 
@@ -204,19 +200,37 @@ def _hits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _members(bits: bytes):
-    """Rows ``(id, key)`` whose key is perhaps shared."""
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(bits, np.uint8)
+def _keys(marks: bytes, rule: Similarity, common: np.ndarray, shared: bytes | None = None):
+    """Keys of the rows that perhaps stand for a class.
+
+    With a bitmap of ``shared`` keys, rows ``(id, key)`` whose key is perhaps one of them.
+    """
+    def batch_of(ids: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
+        columns = {"id": np.concatenate(ids), "key": np.concatenate(keys)}
+        if shared is None:
+            del columns["id"]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = np.frombuffer(marks, np.uint8)
+        held = None if shared is None else np.frombuffer(shared, np.uint8)
         for batch in batches:
-            listed = batch.column("keys")
-            flat = listed.flatten().to_numpy(zero_copy_only=False)
-            counts = np.diff(listed.offsets.to_numpy())
-            hit = _hits(held, flat)
-            ids = np.repeat(batch.column("id").to_numpy(), counts)[hit]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(flat[hit])], names=["id", "key"])
+            batch = batch.filter(pa.array(_hits(rows, batch.column("mark").to_numpy())))
+            ids, keys, waiting = [], [], 0
+            for _, found in shingle_sets(batch.column("text"), rule.width):
+                made = set_keys(found, rule, common).view(np.int64)
+                if held is not None:
+                    made = made[_hits(held, made)]
+                keys.append(made)
+                ids.append(np.full(len(made), _digest(found), np.int64))
+                waiting += len(made)
+                if waiting >= BATCH_KEYS:
+                    yield batch_of(ids, keys)
+                    ids, keys, waiting = [], [], 0
+            if waiting:
+                yield batch_of(ids, keys)
 
-    return pick
+    return read
 
 
 def _sets(bits: bytes, width: int):
@@ -250,7 +264,8 @@ def tile_links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], rule:
     order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
     ids, sides, sets = ids[order], sides[order], [sets[i] for i in order]
     sizes = np.array([len(s) for s in sets])
-    width = 1 << min(20, max(10, int(8 * sizes[-1] - 1).bit_length()))
+    # By the mean, so a long set among many short ones does not widen all rows.
+    width = 1 << min(20, max(10, int(8 * sizes.mean() - 1).bit_length()))
     bits = np.zeros((len(ids), width // 64), np.uint64)
     for row, found in enumerate(sets):
         flags = np.zeros(width, np.uint8)
@@ -342,25 +357,34 @@ def similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
     ``class_id`` names equal sets and ``root`` the classes that links tie
     together. ``component_id`` is the smallest doc_id among them.
     """
+    with small_batches(docs.sparkSession):
+        return _similar_classes(docs, rule)
+
+
+def _similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
     rows = numbered(docs, "doc_id", "text")
-    signed, _ = settle(mapped(rows, _signer(rule, common_shingles(rows, rule.width)), "file long, at long, doc_id long, size long, id long, keys array<long>"))
+    signed, _ = settle(mapped(rows, _signer(rule.width), "file long, at long, doc_id long, size long, id long"))
     counted = signed.where("size > 0").groupBy("id", "size").agg(
         F.min("doc_id").alias("least"), F.min(F.struct("file", "at")).alias("row")
     )
     classes, _ = settle(counted)
 
-    keys = signed.select("id", F.explode("keys").alias("key"))
-    ends = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    shared, _ = settle(ends.where("low <> high").select("key", "low"))
-    bits = key_bitmap(shared, "key")
-    members = mapped(signed.select("id", "keys"), _members(bits), "id long, key long").distinct()
-    near = members.join(shared, "key").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    # A copy that passes the bitmap makes its class meet itself, which ties nothing.
+    mark = F.xxhash64("file", "at").alias("mark")
+    marks = key_bitmap(classes.select(F.xxhash64("row.file", "row.at").alias("mark")), "mark")
+    common = common_shingles(rows, rule.width)
+    texts = rows.select("file", "at", mark, "text")
+    counted = mapped(texts.select("mark", "text"), _keys(marks, rule, common), "key long").groupBy("key").count()
+    shared, _ = settle(counted.where("count > 1").select("key"))
+    held = mapped(texts.select("mark", "text"), _keys(marks, rule, common, key_bitmap(shared, "key")), "id long, key long")
+    members, _ = settle(held.join(shared, "key", "left_semi").distinct())
+    ends = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    near = members.join(ends, "key").select(F.col("id").alias("a"), F.col("low").alias("b"))
     groups = components(near).select(F.col("node").alias("id"), "root")
 
     wanted, _ = settle(classes.join(groups, "id").select("id", "size", "root", "row.file", "row.at"))
-    mark = F.xxhash64("file", "at").alias("mark")
     bits = key_bitmap(wanted.select(mark), "mark")
-    read = mapped(rows.select("file", "at", mark, "text"), _sets(bits, rule.width), "file long, at long, hashes binary")
+    read = mapped(texts, _sets(bits, rule.width), "file long, at long, hashes binary")
     sets, _ = settle(read.join(wanted, ["file", "at"]).select("id", "hashes"))
     placed = _tiles(wanted.select("id", "size", "root"), rule).join(sets, "id")
     links = placed.groupBy("root", "band", "across", "first", "second").applyInPandas(_linker(rule), "a long, b long")
@@ -371,8 +395,7 @@ def similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
     named = named.join(names, "root").select("id", "root", "component_id")
     alone = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        signed.drop("keys")
-        .join(named, "id", "left")
+        signed.join(named, "id", "left")
         .select("file", "at", "doc_id", F.col("size").alias("n_shingles"), F.col("id").alias("class_id"), "root", alone.alias("component_id"))
     )
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _ONE = np.uint64(1)
 
 
@@ -46,7 +46,7 @@ def _power(name: str, base: int, size: int) -> np.ndarray:
 
 
 def text_chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(first row, bytes, row offsets)`` of runs of whole texts, about a megabyte each."""
+    """``(first row, bytes, row offsets)`` of runs of whole texts, about ``CHUNK_BYTES`` each."""
     texts = texts.cast(pa.large_string()).fill_null("")
     if not len(texts):
         return
