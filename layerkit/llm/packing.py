@@ -149,9 +149,11 @@ def _packed(name: str, tiers: Sequence[int], step_tokens: int):
             rows = []
             for tier, pieces in packer.pack():
                 step = windows[tier] * tiers[tier] // step_tokens * len(tiers) + tier
-                for offset, p in enumerate(pieces):
+                offset = 0
+                for p in pieces:
                     crc = zlib.crc32(ids[p.row][p.start : p.start + p.length].tobytes())
                     rows.append((names[p.row], p.start, p.length, crc, len(ids[p.row]), task + made, offset, tiers[tier], task + step))
+                    offset += p.length
                 windows[tier] += 1
                 made += 1
             columns = zip(*rows) if rows else ([] for _ in _FIELDS)
@@ -177,8 +179,8 @@ def _packed(name: str, tiers: Sequence[int], step_tokens: int):
 def packed(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", tiers: Sequence[int] = TIERS, step_tokens: int = STEP_TOKENS) -> DataFrame:
     """One row per piece of a document, with its place in a sequence.
 
-    ``tiers`` are powers of two, ascending. ``offset`` numbers a sequence's
-    pieces, ``tier`` is its size and ``step_group`` the step that it belongs to.
+    ``tiers`` are powers of two, ascending. ``offset`` counts the
+    sequence's ids before the piece, ``tier`` is its size and ``step_group`` the step that it belongs to.
     """
     return mapped(docs.select("doc_id", "text"), _packed(tokenizer, tuple(tiers), step_tokens), _DDL)
 
