@@ -43,9 +43,11 @@ SENSITIVE = {
 }
 LEAST_SCORE = 1.0
 LEAST_LITERAL = 6
+# Runs are possessive: nothing is tried twice, so no run needs a bound.
 LEXED = re.compile(
-    r"""(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,127})["']?[ \t]{0,8}(?::=|=>|=|:)[ \t]{0,8}"""
-    r"""(?:"(?P<double>(?:[^"\\\n]|\\.){0,4096})"|'(?P<single>(?:[^'\\\n]|\\.){0,4096})'|(?P<bare>[A-Za-z_][A-Za-z0-9_.\-]{0,127}))"""
+    r"""(?<![A-Za-z0-9_.\-])[0-9.\-]*+(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)["']?[ \t]*+(?::=|=>|=|:)[ \t]*+"""
+    r"""(?:"(?P<double>[^"\\\n]*+(?:\\.[^"\\\n]*+)*+)"|'(?P<single>[^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'"""
+    r"""|(?P<bare>[A-Za-z_][A-Za-z0-9_.\-]*+))"""
 )
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 

@@ -166,6 +166,9 @@ def test_lexer_follows_names():
     text = 'alpha = "Zx81kkQ2mmPP09"\nbeta = alpha\ndb.password = beta\ncolour: "Zx81kkQ2mmPP00"\n'
     assert [text[s.start : s.end] for s in secrets.lexed_spans(text)] == ["Zx81kkQ2mmPP09"]
     assert secrets.lexed_spans('password = "has a space"') == []
+    # Names, gaps and literals have no bound.
+    for text in ("a" * 500 + '_password = "Zx81kkQ2"', "--password" + " " * 90 + "= 'Zx81kkQ2'", 'secret: "' + "Zx81kkQ2" * 2_000 + '"'):
+        assert [text[s.start - 1] + text[s.end] for s in secrets.lexed_spans(text)] in (['""'], ["''"])
 
 
 @here
