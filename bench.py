@@ -21,6 +21,7 @@ HEADLINE = (
     "quality_reason", "silver_valid", "quarantine", "reason_counts", "dup_rank", "surrogate_key", "surrogate_key_bucketed",
     "scd2_build", "scd2_lookup", "scd2_lookup_bucketed", "scd2_lookup_asof", "dim_customer", "lookup_account",
     "fact_transaction", "quality_profile", "unique_keys", "referential_integrity", "scd2_suite", "fact_recheck", "medallion_gold",
+    "reasons_by_id", "fact_suite", "source_validation", "medallion_silver",
 )
 
 

@@ -114,6 +114,11 @@ def business_columns(table: str) -> list[str]:
     return [column[0] for column in _columns(table)]
 
 
+def declared_types(table: str) -> list[tuple[str, str]]:
+    """Business columns with the names of their types, in lower case."""
+    return [(column[0], column[1].lower()) for column in _columns(table)]
+
+
 def required_values(table: str) -> list[str]:
     """Business columns declared NOT NULL."""
     return [column[0] for column in _columns(table) if column[-2:] == ["NOT", "NULL"]]
