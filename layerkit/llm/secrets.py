@@ -7,6 +7,12 @@ the literal behind it, and scores each literal by how sensitive the names are
 that it reaches, how long it is and how mixed its characters are. Literals that
 score enough are added as spans of kind ``lexed``; base spans always stay.
 
+A literal is quoted, or it is an unquoted value up to white space or a
+delimiter that no held name equals, as in .env, INI, YAML and credentials
+files. A call, an index and ``$NAME`` are no literals. A type between name and
+value is read past, and all names of a chain ``a = b = "..."`` hold its end. An
+unquoted value of a name that is not sensitive, such as a URL, may hold pairs.
+
 Texts are scanned whole, one row at a time, where they lie: nothing is shuffled
 and memory is bounded by a batch and one text's assignments.
 
@@ -39,16 +45,21 @@ WORDS = re.compile(r"(?i:passw|secret|token|api_?key)", re.ASCII)
 # Sensitive parts of names and what they are worth.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9,
-    "credentials": 0.9, "privatekey": 1.0, "accesskey": 1.0, "auth": 0.7, "bearer": 0.8, "signature": 0.5, "salt": 0.5, "key": 0.4,
+    "credentials": 0.9, "privatekey": 1.0, "accesskey": 1.0, "auth": 0.7, "bearer": 0.8, "signature": 0.5, "salt": 0.5, "key": 0.6,
 }
 LEAST_SCORE = 1.0
 LEAST_LITERAL = 6
 # Runs are possessive: nothing is tried twice, so no run needs a bound.
+NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
+TYPE = rf"(?:&(?:'[a-z]++[ \t]++)?(?:mut[ \t]++)?)?{NAME}[?!]?(?:[ \t]*+[\[<|][^\"'\n=;:(){{}}]*+)?"
 LEXED = re.compile(
-    r"""(?<![A-Za-z0-9_.\-])[0-9.\-]*+(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)["']?[ \t]*+(?::=|=>|=|:)[ \t]*+"""
+    rf"""(?<![A-Za-z0-9_.\-])[0-9.\-]*+(?P<name>{NAME})["']?[ \t]*+(?::[ \t]*+{TYPE}[ \t]*+:?=(?![=>~])|:=|=>|=(?![=~])|:)[ \t]*+"""
     r"""(?:"(?P<double>[^"\\\n]*+(?:\\.[^"\\\n]*+)*+)"|'(?P<single>[^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'"""
-    r"""|(?P<bare>[A-Za-z_][A-Za-z0-9_.\-]*+))"""
+    rf"""|(?P<chain>(?={NAME}(?:[ \t]++:?=|:?=(?=[ \t"']))(?![=>~])))|(?=(?P<first>[^\s"'`,;()\[\]{{}}<>=:])))"""
 )
+# An unquoted value; ``&`` ends it only before the next pair of a query string.
+RUN = re.compile(rf"""(?:[^\s"'`,;()\[\]{{}}<>&]++|&(?!{NAME}=))++""")
+WHOLE = re.compile(rf"\$?({NAME})")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -96,20 +107,45 @@ def lexed_spans(text: str) -> list[Span]:
         return []
     holds: dict[str, tuple[int, int]] = {}
     worth: dict[tuple[int, int], float] = {}
-    for m in LEXED.finditer(text):
-        name = m["name"]
-        if m["bare"] is None:
-            kind = "double" if m["double"] is not None else "single"
-            literal = m.span(kind)
-        else:
-            literal = holds.get(m["bare"])
-        if literal is None:
-            holds.pop(name, None)
+    chain: list[str] = []
+    at = run_end = 0
+    while m := LEXED.search(text, at):
+        if chain and m.start() > at:
+            chain = []  # what was to follow is no assignment
+        at = m.end()
+        chain.append(m["name"])
+        if m["chain"] is not None:
             continue
-        holds[name] = literal
-        worth[literal] = max(worth.get(literal, 0.0), sensitivity(name))
+        names, chain, literal = chain, [], None
+        sensitive = max(map(sensitivity, names))
+        if m["first"] is None:
+            literal = m.span("double" if m["double"] is not None else "single")
+        else:
+            inner = at < run_end
+            # Every value inside a run ends where the run ends, so no run is read twice.
+            if not inner:
+                found_run = RUN.match(text, at)
+                run_end = found_run.end() if found_run else at
+            whole = WHOLE.match(text, at)
+            if whole and whole.end() == run_end:
+                literal = holds.get(whole[1])
+                if literal is None and text[at] != "$" and text[run_end : run_end + 1] not in ("(", "["):
+                    literal = (at, run_end)
+                at = run_end
+            elif sensitive or not inner:
+                literal = (at, run_end)
+                at = run_end if sensitive else at
+        for name in names:
+            if literal is None:
+                holds.pop(name, None)
+            else:
+                holds[name] = literal
+        if literal is not None:
+            worth[literal] = max(worth.get(literal, 0.0), sensitive)
     found = []
     for (start, end), sensitive in worth.items():
+        if sensitive + 0.5 < LEAST_SCORE:
+            continue
         literal = text[start:end]
         if len(literal) >= LEAST_LITERAL and not any(c.isspace() for c in literal) and sensitive + 0.5 * mixture(literal) >= LEAST_SCORE:
             found.append(Span(start, 3, end))

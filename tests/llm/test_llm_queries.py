@@ -171,6 +171,29 @@ def test_lexer_follows_names():
         assert [text[s.start - 1] + text[s.end] for s in secrets.lexed_spans(text)] in (['""'], ["''"])
 
 
+LITERAL = "Zx81kkQ2mmPP09"
+
+
+@pytest.mark.parametrize("text", [
+    f"DB_PWD={LITERAL}", f"export DB_PWD={LITERAL} # note", f"db_pwd: {LITERAL}\nport: 1", f"[main]\naws_access_key = {LITERAL}\n", f"{{auth: {LITERAL}, b: 1}}",
+    f'dbPwd: string = "{LITERAL}"', f'client_credential: str = "{LITERAL}"', f"pwd: str | None = '{LITERAL}'", f'pwd: Option<&str> = "{LITERAL}";', f'const PWD: &\'static str = "{LITERAL}";',
+    f'a = db_pwd = "{LITERAL}"', f'db_pwd = a = b = "{LITERAL}"', f'db_pwd=b="{LITERAL}"', f'x = "{LITERAL}"\ny = pwd = x\n', f"x = {LITERAL}\npwd = x",
+    f"host=https://h.example/?q=1&auth={LITERAL}&next=2", f'key: "{LITERAL}"', f"signing_key = {LITERAL}",
+])
+def test_lexer_reads_configuration_types_and_chains(text):
+    assert [text[s.start : s.end] for s in secrets.lexed_spans(text)] == [LITERAL]
+
+
+def test_lexer_reads_whole_unquoted_values():
+    for literal in ("wJalrXUtnFEMI/K7MDENG+bPxRfiCY", "8f3kZx81kkQ2", "Zx81=kkQ2:mm==", "Zx81!kk@Q2#m&P", "12345678"):
+        assert [s.start for s in secrets.lexed_spans(f"db_pwd = {literal}\n")] == [9]
+        assert [s.end for s in secrets.lexed_spans(f"db_pwd = {literal}\n")] == [9 + len(literal)]
+    for text in ("pwd = get_password()", "pwd = environ['X1234567']", "pwd=$DB_PASSWORD", "pwd == other_value", "std::pwd::string_value", 'key = "aaaaaaaaaaaaaa"'):
+        assert secrets.lexed_spans(text) == []
+    # Values in one run are not read again for each name.
+    assert secrets.lexed_spans("a:b=" * 100_000) == []
+
+
 @here
 def test_packing_holds_every_id_once(spark):
     from public_tokenizers import path
