@@ -148,14 +148,14 @@ def train(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> Model | None
     """Model from the labelled rows outside the held-out fold.
 
     What reaches the driver is about ``per_language`` vectors of 16 KB for each
-    label in use.
+    label in use. Rates come from the rows that may be learned from, so no
+    label or text of the held-out fold has a say.
     """
     usable = docs.where(F.col("doc_id").isNotNull() & ~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect() if r["lang"] is not None}
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
-    # Half as many again, since the fold and texts without letters take some away.
-    rate = F.create_map(*[F.lit(v) for name, n in counts.items() for v in (name, min(1.0, 1.5 * per_language / n))])
+    rate = F.create_map(*[F.lit(v) for name, n in counts.items() for v in (name, min(1.0, per_language / n))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000)) / 1_000_000
     sample = mapped(usable.where(draw < rate[F.col("lang")]).select("lang", "text"), _vectors, "lang string, vector binary")
     rows = sorted((r["lang"], bytes(r["vector"])) for r in sample.collect())

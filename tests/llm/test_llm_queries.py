@@ -242,6 +242,20 @@ def test_language_of_held_out_texts(spark):
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.95 * len(held)
 
 
+def test_only_rows_to_learn_from_set_the_rates(spark, monkeypatch):
+    """Neither held-out labels nor rows without letters change which rows are drawn."""
+    held = [d for d in range(4_000) if zlib.crc32(str(d).encode()) % 4 == 2]
+    learned = [d for d in range(4_000) if zlib.crc32(str(d).encode()) % 4 != 2]
+    drawn = []
+    monkeypatch.setattr(language_id, "fit", lambda vectors, names: drawn.append(Counter(names)))
+    for label, text in (("aa", "word"), ("bb", "word"), ("aa", None)):
+        rows = [(d, f"text {d}", "aa" if i < 100 else "bb") for i, d in enumerate(learned)]
+        rows += [(d, text, label) for d in held] + [(d, "123" if d % 2 else None, "aa") for d in range(1, 20_001)]
+        language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=100)
+    assert drawn[0] == drawn[1] == drawn[2]
+    assert drawn[0]["aa"] == 100 and 60 <= drawn[0]["bb"] <= 150
+
+
 def test_codewords_stand_apart():
     for languages in (2, 4, 6, 20):
         code = language_id.codewords(languages)
