@@ -59,7 +59,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def numbered(docs: DataFrame, *columns: str) -> DataFrame:
-    """Some columns of a stored table, with the row's file and position.
+    """Some columns of a stored table (see ``in_place``), with the row's file and position.
 
     Every pass over the result sees the same numbers, so rows can be told apart
     even where every column repeats.

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from layerkit.llm.common import BITMAP_BITS, key_bitmap, mapped, numbered, table, without_rows
 from layerkit.llm.shingles import mix
+from layerkit.operators.rowid import in_place
 from layerkit.sources.scratch import settle
 
 BUCKET_DIGESTS = 50_000
@@ -207,7 +208,8 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each text."""
+    """``docs``, from any plan, with one row of each text."""
+    docs = in_place(docs)
     return without_rows(docs, copy_groups(docs).where("not kept").select("file", "at"))
 
 

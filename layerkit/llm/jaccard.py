@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from layerkit.llm.common import BITMAP_BITS, components, key_bitmap, mapped, numbered, small_batches, table, without_rows
 from layerkit.llm.shingles import mix, shingle_sets
+from layerkit.operators.rowid import in_place
 from layerkit.sources.scratch import settle
 
 # A tile's members weigh their shingles, 128 at least: 4,096 members or 4 MB of hashes.
@@ -358,7 +359,7 @@ def similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
     together. ``component_id`` is the smallest doc_id among them.
     """
     with small_batches(docs.sparkSession):
-        return _similar_classes(docs, rule)
+        return _similar_classes(in_place(docs), rule)
 
 
 def _similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
@@ -407,10 +408,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
-    """``docs`` with the first row, by doc_id and then position, of each component.
+    """``docs``, from any plan, with the first row, by doc_id and then position, of each component.
 
     Texts without words are nobody's copies, and all stay.
     """
+    docs = in_place(docs)
     found = similar_classes(docs, rule)
     found, _ = settle(found)
     real = found.where("n_shingles > 0")

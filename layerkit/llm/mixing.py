@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerkit.llm.common import ROW_ID, SPACE, WORD, numbered, table
-from layerkit.operators.rowid import with_row_id
+from layerkit.operators.rowid import in_place, with_row_id
 from layerkit.sources.scratch import settle
 
 CAP = 3
@@ -164,12 +164,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, cap: int = CAP) -> DataFrame:
-    """``docs`` as the mix takes them: a row per take, in training order.
+    """``docs``, from any plan, as the mix takes them: a row per take, in training order.
 
     A document taken twice is there twice, one taken in part has its first
     words, and one not taken is left out. Columns stay as they are, but a cut
     text has its own ``n_chars``.
     """
+    docs = in_place(docs)
     rows, _ = settle(numbered(docs, "doc_id", "source", "text").select("file", "at", "doc_id", "source", word_count(F.col("text")).alias("size")))
     found = takes(rows, ("file", "at"), schedules, cap).select(
         F.struct("file", "at").alias(ROW_ID), F.col("size").alias("__size"), F.inline("takes")

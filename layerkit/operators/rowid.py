@@ -28,6 +28,21 @@ def with_row_id(df: DataFrame, from_files: bool = False) -> DataFrame:
         return with_row_id(df)
 
 
+def in_place(df: DataFrame) -> DataFrame:
+    """``df`` itself where it only projects or filters a Parquet scan, or else written once.
+
+    For those who name rows by file and position in more than one pass. The
+    plan is asked, since a join may show the file and position of one side for
+    several rows.
+    """
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias") and node.deterministic():
+        node = node.children().head()
+    if node.nodeName() == "LogicalRelation" and node.relation().toString().lower() == "parquet":
+        return df
+    return settle(df)[0]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Redistribute a scan that has fewer splits than the cluster has cores.
 

@@ -14,6 +14,7 @@ import pytest
 import __spark_entry__ as contract_entry
 from layerkit.llm import chat, exact_dedup, jaccard, language_id, mixing, packing, quality_model, quality_rules, secrets
 from layerkit.llm.queries import ORACLES, QUERIES
+from layerkit.operators.rowid import in_place
 
 FOLDER = Path("/root/testdata/sf0.001")
 here = pytest.mark.skipif(not FOLDER.exists(), reason="test tables are absent")
@@ -392,6 +393,25 @@ def test_repeated_rows_keep_one(spark, awkward):
     assert set(kept.values()) == {1} and set(kept) == {r["text_sha256"] for r in rows}
 
 
+def test_stages_take_any_plan(spark, folder):
+    """In memory or of a join that repeats rows: what a plain scan of the same rows gives."""
+    rows = [(d, f"{PROSE} end{d % 5}" if d % 2 else f"other words {d % 4} here", "en", f"s{d % 3}", 7) for d in range(12)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    made.repartition(2).write.parquet(f"{folder}/docs")
+    scan = spark.read.parquet(f"{folder}/docs")
+    spark.createDataFrame([(r[0],) for r in rows for _ in range(2)], "doc_id long").write.parquet(f"{folder}/pairs")
+    joined = scan.join(spark.read.parquet(f"{folder}/pairs"), "doc_id")
+    for stage in (exact_dedup.without_copies, jaccard.one_of_each, mixing.mixed):
+        expected = Counter(map(tuple, stage(scan).collect()))
+        assert expected and Counter(map(tuple, stage(made).collect())) == expected
+    once = Counter(map(tuple, exact_dedup.without_copies(scan).collect()))
+    assert Counter(map(tuple, exact_dedup.without_copies(joined).collect())) == once
+    for docs in (scan, scan.where("doc_id > 3").select("text"), scan.alias("d")):
+        assert in_place(docs) is docs
+    for docs in (made, joined, scan.union(scan), scan.distinct(), scan.where("rand() < 2")):
+        assert in_place(docs) is not docs
+
+
 @here
 def test_pipeline_equals_its_stages_by_hand(spark):
     """Brute force over what the learned rules keep, then targets and tokens of what is left."""
