@@ -12,9 +12,9 @@ Within a source, documents stand in the order of a hash of their id, the same in
 every run. Whole epochs take every document; the last, partial one takes the
 first words of that order and cuts the document in which the target ends.
 
-Running sums use blocks of the hash order: sums of blocks first, then sums
-inside each, so a source with a third of all rows spreads over all its blocks.
-Only DataFrame functions are used, over one narrow table written once. One row
+Running sums use blocks of the whole order, cut by range: sums of blocks first,
+then sums inside each, so a source, or an id, with a third of all rows spreads
+over many blocks. Only DataFrame functions are used, over one narrow table written once. One row
 per source is gathered in one task.
 
 Defined cases: a null text has no words. A null source is a source of its own,
@@ -36,7 +36,7 @@ from layerkit.operators.rowid import in_place, with_row_id
 from layerkit.sources.scratch import settle
 
 CAP = 3
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 1_000_000
 Schedule = Sequence[tuple[float, float]]
 # Knots (time, weight). The integrals are 5, 2 and 1: the heaviest sources lead
 # and fade, the lightest come up towards the end.
@@ -101,12 +101,13 @@ def _placed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     ``rows`` is a written table ``(doc_id, source, size, ...)``.
     """
-    count = rows.count()
-    blocks = max(1, count // BLOCK_ROWS)
     rank = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = rows.withColumn("rank", rank).withColumn(
-        "block", F.floor(F.conv(F.substring("rank", 1, 8), 16, 10).cast("long") * blocks / (1 << 32)).cast("int")
-    )
+    order = ["source", "rank", "doc_id", "size", *keys]
+    # Ranges of the whole order are even, also where an id or a source holds a third of all rows. Their
+    # bounds are sampled by each job, so the blocks are written before they are used.
+    width = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // BLOCK_ROWS)
+    ranged = rows.withColumn("rank", rank).repartitionByRange(width, *order)
+    rows, _ = settle(ranged.withColumn("block", F.spark_partition_id()))
     sums = rows.groupBy("source", "block").agg(F.sum("size").alias("in_block"))
     earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "block", F.coalesce(F.sum("in_block").over(earlier), F.lit(0)).alias("before"))
@@ -132,7 +133,8 @@ def takes(rows: DataFrame, keys: Sequence[str] = (), schedules: Sequence[Schedul
     epochs = F.transform(F.array(*[F.lit(e).cast("long") for e in range(cap)]), lambda e: F.struct(
         e.cast("int").alias("epoch"),
         F.greatest(F.least(goal - e * whole - start, size), F.lit(0)).cast("long").alias("words"),
-        (F.least((e * whole + start).cast("double") / F.col("target"), F.lit(1.0))).alias("share"),
+        # A source without words has a target of 0 and takes nothing.
+        F.least(F.try_divide((e * whole + start).cast("double"), F.col("target")), F.lit(1.0)).alias("share"),
     ))
     taken = F.filter(epochs, lambda t: t["words"] > 0)
 
@@ -152,11 +154,11 @@ def word_count(text: Column) -> Column:
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document, sorted by first training position."""
     docs = table(spark, sf_dir, "documents")
-    rows, _ = settle(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    rows, _ = settle(numbered(docs, "doc_id", "source", "text").select("file", "at", "doc_id", "source", word_count(F.col("text")).alias("size")))
     taken = F.coalesce(F.aggregate("takes", F.lit(0).cast("long"), lambda total, t: total + t["words"]), F.lit(0))
     first = F.round(F.try_element_at("takes", F.lit(1))["position"], 6)
     return (
-        takes(rows)
+        takes(rows, ("file", "at"))
         .select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), first.alias("position"))
         .repartitionByRange("position", "doc_id")
         .sortWithinPartitions("position", "doc_id")
