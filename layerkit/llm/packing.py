@@ -25,6 +25,7 @@ carried along. Other columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
@@ -49,16 +50,18 @@ def encoder(name: str) -> Callable[[str], np.ndarray]:
     """Byte-level BPE of a vocabulary that the public tokenizers package has by name.
 
     The vocabulary comes as ranks, which give the same ids as its JSON form at
-    several times the speed; strings of special tokens are ordinary text.
+    several times the speed. The JSON form says which strings are tokens of
+    their own wherever they stand in a text.
     """
     import public_tokenizers
     import tiktoken
 
-    path = public_tokenizers.path(name.removesuffix(".json") + ".tiktoken")
-    with open(path, "rb") as lines:
+    with open(public_tokenizers.path(name)) as whole:
+        added = {token["content"]: token["id"] for token in json.load(whole)["added_tokens"]}
+    with open(public_tokenizers.path(name.removesuffix(".json") + ".tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    made = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return partial(made.encode_to_numpy, disallowed_special=())
+    made = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return partial(made.encode_to_numpy, allowed_special="all")
 
 
 @dataclass
