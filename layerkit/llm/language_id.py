@@ -12,7 +12,7 @@ a bit; many get a code of ``BITS_PER_LANGUAGE_BIT`` random splits for each bit
 that naming a language takes.
 
 Classifiers are fitted on a bounded sample: about ``FIT_PER_LANGUAGE`` labelled
-texts of each language, picked by a hash of doc_id, as vectors of fixed size.
+texts of each language, ``FIT_ROWS`` in all, as vectors of fixed size.
 Whole texts are read, for fitting and for predicting. Nothing but the text is
 an input of a prediction, and the model is a matrix of fixed size per language.
 
@@ -25,7 +25,6 @@ repeat. Other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,16 +34,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.llm.common import mapped, table
+from layerkit.sources.scratch import settle
 
 UNDETERMINED = "und"
 SLOTS = 4096
 FIT_PER_LANGUAGE = 400
+FIT_ROWS = 4_000
 BITS_PER_LANGUAGE_BIT = 10
 EXHAUSTIVE = 6
 STEPS = 300
 PENALTY = 1e-4
 AMBIGUOUS = 0.6
-_LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 1 << 20
 
 
@@ -133,6 +133,11 @@ def fit(vectors: np.ndarray, names: list[str]) -> Model | None:
     return Model(languages, code, weights, bias, trust * code.shape[1] / trust.sum())
 
 
+def has_letter() -> Column:
+    """Whether the text has a character of the Unicode category L."""
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def held_out() -> Column:
     """The fold that is never learned from: a checksum of the doc_id's text."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -144,20 +149,23 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(found, pa.binary())], names=["lang", "vector"])
 
 
-def train(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> Model | None:
+def train(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE, fit_rows: int = FIT_ROWS) -> Model | None:
     """Model from the labelled rows outside the held-out fold.
 
     What reaches the driver is about ``per_language`` vectors of 16 KB for each
-    label in use. Rates come from the rows that may be learned from, so no
-    label or text of the held-out fold has a say.
+    label in use, or ``fit_rows`` shared out evenly if there are many labels.
+    Rows are drawn by id and text; those that repeat both count once. Rates come
+    from the rows that may be learned from, so no label or text of the held-out
+    fold has a say.
     """
-    usable = docs.where(F.col("doc_id").isNotNull() & ~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
+    usable = docs.select("doc_id", "lang", "text").where(F.col("doc_id").isNotNull() & ~held_out() & F.col("lang").isNotNull() & has_letter())
+    counted, languages = settle(usable.groupBy(F.col("lang").alias("__lang")).agg(F.count_distinct(F.xxhash64("doc_id", "text")).alias("__n")))
+    if not languages:
         return None
-    rate = F.create_map(*[F.lit(v) for name, n in counts.items() for v in (name, min(1.0, per_language / n))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000)) / 1_000_000
-    sample = mapped(usable.where(draw < rate[F.col("lang")]).select("lang", "text"), _vectors, "lang string, vector binary")
+    share = min(float(per_language), fit_rows / languages) / F.col("__n")
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("language")), F.lit(1_000_000)) / 1_000_000
+    picked = usable.join(counted, F.col("lang") == F.col("__lang")).where(draw < share).select("doc_id", "lang", "text").distinct()
+    sample = mapped(picked.select("lang", "text"), _vectors, "lang string, vector binary")
     rows = sorted((r["lang"], bytes(r["vector"])) for r in sample.collect())
     vectors = np.frombuffer(b"".join(v for _, v in rows), np.float32).reshape(len(rows), SLOTS).astype(float)
     return fit(vectors, [name for name, _ in rows])
@@ -172,7 +180,8 @@ def _predictor(model: Model | None):
             names, scores, close = [], [], []
             for first in range(0, batch.num_rows, 256):
                 texts = [t.as_py() for t in batch.column("text").slice(first, 256)]
-                known = [i for i, t in enumerate(texts) if model is not None and t is not None and _LETTER.search(t)]
+                letters = batch.column("letters").slice(first, 256).to_pylist()
+                known = [i for i, has in enumerate(letters) if has and model is not None]
                 found, score, doubt = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 if known:
                     best, shares, unsure = model.predict(np.stack([vector(texts[i]) for i in known]))
@@ -191,7 +200,7 @@ def _predictor(model: Model | None):
 
 def identified(docs: DataFrame, model: Model | None) -> DataFrame:
     """The predicted language of each row; the model is all that is sent along."""
-    return mapped(docs.select("doc_id", held_out().alias("held_out"), "text"), _predictor(model), _DDL)
+    return mapped(docs.select("doc_id", held_out().alias("held_out"), has_letter().alias("letters"), "text"), _predictor(model), _DDL)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
