@@ -8,12 +8,13 @@ grade and the tail probability of the best grade, by which texts are selected.
 Ratings are 0 for low quality, 1 for good but toxic, 2 for good. Features are
 the presence of hashed words, which are runs of letters in lower case, and a few
 shares (capitals, digits, marks, symbols, bars, different words) in steps of an
-eighth. Of those that ``LEAST_TEXTS`` examples
-hold, the ``FEATURES`` that tell grades apart best get a weight. Grades weigh by
-their frequency, so a clean text is rarely taken for a toxic one.
+eighth. All that tell grades apart more than chance would, at a level of
+``SIGNIFICANCE`` over everything that was tried, get a weight; their number is
+not fixed. Grades weigh by their frequency, so a clean text is rarely taken for a
+toxic one.
 
-The model is fitted on a bounded sample of about ``FIT_ROWS`` labelled rows,
-picked by a hash of doc_id; at most ``SLOTS`` features of each reach the driver.
+The model is fitted on a bounded sample of about ``FIT_ROWS`` labelled rows, in
+which copies count once; at most ``SLOTS`` features of each reach the driver.
 Every row and whole text is scored.
 
 Defined cases: a null text has no features and gets the model's base chance; a
@@ -33,16 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.llm.common import mapped, table
+from layerkit.llm.samples import independent, labelled_sample
 from layerkit.llm.shingles import text_chunks, words
-from layerkit.sources.scratch import settle
 
 SLOTS = 1 << 18
 FIT_ROWS = 6_000
 GRADES = 3
 STEPS = 250
 PENALTY = 3e-5
-LEAST_TEXTS = 5
-FEATURES = 200
+SIGNIFICANCE = 0.01
 KEEP = 0.5
 STEPS_OF_SHARE = 8
 _NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
@@ -94,17 +94,25 @@ class Ordinal:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds, -30, 30)))
 
 
+def _surprise(seen: np.ndarray, texts: np.ndarray, share: float) -> np.ndarray:
+    """Logarithm by which chance alone would make ``seen`` of ``texts`` unlikely, by Chernoff's bound."""
+    rate = seen / np.maximum(texts, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        parts = [np.where(r > 0, r * np.log(r / s), 0.0) for r, s in ((rate, share), (1 - rate, 1 - share))]
+    return texts * (parts[0] + parts[1])
+
+
 def _telling(columns: np.ndarray, of_column: np.ndarray, grades: np.ndarray) -> np.ndarray:
-    """The features that tell grades apart best, by their largest chi-squared over the cuts."""
-    texts = np.bincount(columns, minlength=SLOTS).astype(float)
-    best = np.zeros(SLOTS)
-    for cut in range(1, grades.max(initial=0) + 1):
-        low = (grades < cut).mean()
-        seen = np.bincount(columns[of_column < cut], minlength=SLOTS)
-        best = np.maximum(best, (seen - texts * low) ** 2 / np.maximum(texts * low * (1 - low), 1e-9))
-    best[texts < LEAST_TEXTS] = 0
-    chosen = np.argsort(-best, kind="stable")[:FEATURES]
-    return chosen[best[chosen] > 0]
+    """All features that tell grades apart at some cut, at ``SIGNIFICANCE`` over features and cuts."""
+    texts = np.bincount(columns, minlength=SLOTS)
+    cuts = range(1, grades.max(initial=0) + 1)
+    least = np.log(max(1, len(cuts)) * max(1, np.count_nonzero(texts)) / SIGNIFICANCE)
+    tells = np.zeros(SLOTS, bool)
+    for cut in cuts:
+        share = float((grades < cut).mean())
+        if 0 < share < 1:
+            tells |= _surprise(np.bincount(columns[of_column < cut], minlength=SLOTS), texts, share) > least
+    return np.flatnonzero(tells)
 
 
 def fit(rows: list[np.ndarray], grades: np.ndarray, count: int = GRADES) -> Ordinal:
@@ -157,11 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ordin
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
     rated = labels.where("doc_id is not null and quality is not null and toxic is not null")
     rated = rated.select(F.col("doc_id").alias("__id"), grade.cast("int").alias("grade"))
-    total = rated.count()
-    draw = F.pmod(F.xxhash64("__id", F.lit("grade")), F.lit(1_000_000))
-    picked, drawn = settle(rated.where(draw < 1_000_000 * min(1.0, fit_rows / max(total, 1))))
-    picked = F.broadcast(picked) if drawn <= 4 * fit_rows else picked
-    joined = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("__id")).select("grade", "text")
+    rated = rated.groupBy("__id").agg(F.min("grade").alias("grade"))
+    joined = independent(labelled_sample(docs, rated, fit_rows, "grade"), "grade")
     rows = sorted((r["grade"], bytes(r["slots"])) for r in mapped(joined, _featured, "grade int, slots binary").collect())
     if not rows:
         return None
