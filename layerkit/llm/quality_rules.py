@@ -3,7 +3,9 @@
 Sequential covering: while rejected examples are left, a rule grows by the
 threshold test that gains most (FOIL's gain), is pruned on rows held back from
 growing, and joins the list if it is precise there. What it covers is set
-aside. Rules are conjunctions of tests on readable statistics, and the list
+aside. A rule that is not precise is set aside itself, and the next one starts
+with another feature or its other side, until no start is left: the number of
+rules and of their tests is not fixed. Rules are conjunctions of tests on readable statistics, and the list
 becomes one ordered Spark conditional expression.
 
 Every count over examples is a grouped aggregate over a narrow written table:
@@ -40,8 +42,6 @@ WINDOW = 8
 # What counts as a symbol.
 SYMBOLS = r"[#*$%&|<>]"
 CUTS = 12
-MOST_TESTS = 3
-MOST_RULES = 8
 LEAST_PRECISION = 0.9
 LEAST_COVER = 4
 
@@ -233,17 +233,18 @@ def learn_rules(examples: DataFrame) -> list[Rule]:
 
     rules: list[list[tuple[int, bool, int]]] = []
     left = binned
-    while len(rules) < MOST_RULES:
+    spent: set[tuple[int, bool]] = set()
+    while True:
         rule: list[tuple[int, bool, int]] = []
         before = None
-        while len(rule) < MOST_TESTS:
+        while True:
             counts = _table(left.where("grow").where(met(rule)))
             before = before or (sum(n[0] for (f, _), n in counts.items() if f == 0), sum(n[1] for (f, _), n in counts.items() if f == 0))
             if before[0] < LEAST_COVER or not before[1]:
                 break
-            covers = {test: _covered(counts, *test) for test in tests}
-            best = max(tests, key=lambda t: (_gain(before, covers[t]), -sum(covers[t]), t[2] if t[1] else -t[2]))
-            if _gain(before, covers[best]) <= 0:
+            covers = {test: _covered(counts, *test) for test in tests if rule or test[:2] not in spent}
+            best = max(covers, key=lambda t: (_gain(before, covers[t]), -sum(covers[t]), t[2] if t[1] else -t[2]), default=None)
+            if best is None or _gain(before, covers[best]) <= 0:
                 break
             rule.append(best)
             before = covers[best]
@@ -258,9 +259,12 @@ def learn_rules(examples: DataFrame) -> list[Rule]:
         best = max(range(len(starts)), key=lambda i: (worth[i], -i))
         bad, good = judged_by[best]
         if bad < LEAST_COVER or bad < LEAST_PRECISION * (bad + good):
-            break
+            # Set this start aside and try one by another feature or from its other side.
+            spent.add(rule[0][:2])
+            continue
         rules.append(starts[best])
         left = left.where(~met(starts[best]))
+        spent.clear()
     return [tuple(Test(names[place], above, cuts[place][k]) for place, above, k in rule) for rule in rules]
 
 
