@@ -20,7 +20,8 @@ than not are the offending offsets.
 
 Fitting takes about ``FIT_ROWS`` labelled documents and at most ``FIT_SENTENCES``
 sentences with telling words and as many without, which weigh what they stand
-for. Draws go by file and position. Every row and whole text is scored.
+for. Documents and sentences are drawn by hashes of themselves, and copies count
+once. Every row and whole text is scored.
 
 Defined cases: a null text is an empty one; both score like a document without
 any telling word. Without labelled documents to learn from all scores are 0. If a
@@ -38,11 +39,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm.common import mapped, numbered, table
-from layerkit.llm.shingles import _BACK, _BASE, _BYTE, _LOWER, _power, mix, shingle_sets, text_chunks
+from layerkit.llm.common import mapped, table
+from layerkit.llm.samples import drawn, independent, labelled_sample
+from layerkit.llm.shingles import _BACK, _BASE, _BYTE, _LOWER, _power, mix, text_chunks
 from layerkit.sources.scratch import settle
 
 SLOTS = 1 << 18
@@ -58,8 +60,6 @@ LEAST = 3
 TOXIC = 0.5
 ENDING = 3
 _SALTS = mix(np.arange(1, 7, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_ORDERS = _SALTS[:4]
-_SKETCH = tuple(f"__sketch{k}" for k in range(len(_ORDERS)))
 _NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 _ENDS = np.array([chr(b) in ".!?\n" for b in range(256)])
 _UPPER = np.array([65 <= b <= 90 for b in range(256)])
@@ -352,30 +352,6 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The least shingle of each text by each of several orders."""
-    for batch in batches:
-        least = np.zeros((batch.num_rows, len(_ORDERS)), np.int64)
-        for row, found in shingle_sets(batch.column("text"), 5):
-            if len(found):
-                least[row] = [mix(found ^ salt).min().view(np.int64) for salt in _ORDERS]
-        arrays = [*batch.columns, *(pa.array(least[:, k]) for k in range(len(_ORDERS)))]
-        yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *_SKETCH])
-
-
-def independent(sample: DataFrame) -> DataFrame:
-    """One document of each text and, but for rare misses, of each group of near copies.
-
-    Copies share their labels, so words of a group that is labelled toxic by
-    mistake would seem to tell. The sample is bounded, and so is any group.
-    """
-    made, _ = settle(mapped(sample.select("toxic", "text"), _sketches, "toxic int, text string, " + ", ".join(f"{s} long" for s in _SKETCH)))
-    for sketch in _SKETCH:
-        first = F.row_number().over(Window.partitionBy(sketch).orderBy(F.xxhash64("text"), "toxic"))
-        made = made.withColumn("__first", first).where("__first = 1").drop("__first")
-    return settle(made.select("toxic", "text"))[0]
-
-
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words and pairs of neighbours of each document."""
     for batch in batches:
@@ -457,29 +433,15 @@ def _weighers(field: Field):
 
 
 def sampled(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
-    """About ``fit_rows`` labelled documents outside the held-out fold, as ``(toxic, text)``.
-
-    Labels are drawn by doc_id first, so that few are joined, and the rows that
-    carry them by file and position, so that an id of many rows is drawn like
-    any other row.
-    """
+    """About ``fit_rows`` labelled documents outside the held-out fold without copies, as ``(toxic, text)``."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     marks = marks.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    total = marks.count()
-    draw = F.pmod(F.xxhash64("__id", F.lit("toxic")), F.lit(1_000_000))
-    marks, drawn = settle(marks.where(draw < 1_000_000 * min(1.0, fit_rows / max(total, 1))))
-    marks = F.broadcast(marks) if drawn <= 4 * fit_rows else marks
-    rows, held = settle(numbered(docs, "doc_id").join(marks, F.col("doc_id") == F.col("__id")).select("file", "at", "toxic"))
-    draw = F.pmod(F.xxhash64("file", "at"), F.lit(1_000_000))
-    rows, drawn = settle(rows.where(draw < 1_000_000 * min(1.0, fit_rows / max(held, 1))).withColumnsRenamed({"file": "__file", "at": "__at"}))
-    rows = F.broadcast(rows) if drawn <= 4 * fit_rows else rows
-    same = (F.col("file") == F.col("__file")) & (F.col("at") == F.col("__at"))
-    return settle(numbered(docs, "text").join(rows, same).select("toxic", "text"))[0]
+    return independent(labelled_sample(docs, marks, fit_rows, "toxic"), "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_sentences: int = FIT_SENTENCES) -> Model | None:
     """Field and curve from a bounded sample; None if no labelled document may be learned from."""
-    sample = independent(sampled(docs, labels, fit_rows))
+    sample = sampled(docs, labels, fit_rows)
     documents, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not documents:
         return None
@@ -487,8 +449,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_sent
     cut, _ = settle(mapped(sample, _sentences(words, pairs), "tells boolean, number long, features binary, tags binary"))
     counts = {r["tells"]: r["n"] for r in cut.groupBy("tells").agg(F.count(F.lit(1)).alias("n")).collect()}
     rate = {tells: min(1.0, fit_sentences / n) for tells, n in counts.items()}
-    draw = F.pmod(F.xxhash64("features", "number"), F.lit(1_000_000))
-    picked = cut.where(draw < 1_000_000 * F.when(F.col("tells"), rate.get(True, 1.0)).otherwise(rate.get(False, 1.0)))
+    picked = cut.where(F.when(F.col("tells"), drawn(rate.get(True, 1.0), "features", "number")).otherwise(drawn(rate.get(False, 1.0), "features", "number")))
     rows = sorted((bytes(r["features"]), bytes(r["tags"]), r["tells"]) for r in picked.select("features", "tags", "tells").collect())
     width = len(_SALTS) - 1
     features = np.frombuffer(b"".join(r[0] for r in rows), np.uint64).reshape(-1, width)
