@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerkit.schemas import DATE_FORMAT
+from layerkit.schemas import DATE_FORMAT, SECOND_FORMAT
 
 
 def run_time(at: datetime | None) -> Column:
@@ -62,6 +62,12 @@ def date_text(day: Column) -> Column:
     return F.coalesce(F.date_format(day, DATE_FORMAT), F.lit(""))
 
 
+def moment_text(moment: Column) -> Column:
+    """Timestamp in ISO form, with microseconds only where there are any."""
+    fraction = F.when(moment != F.date_trunc("second", moment), F.date_format(moment, ".SSSSSS")).otherwise("")
+    return F.concat(F.date_format(moment, SECOND_FORMAT), fraction, F.lit("Z"))
+
+
 def earliest_allowed(*days: Column) -> Column:
     """Latest of several lower bounds."""
     return F.greatest(*days)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from layerkit.functions import day_of
@@ -24,8 +25,9 @@ from layerkit.operators.rules import not_in
 from layerkit.operators.scd2 import BUCKET_DAYS, holds_on, overlapping, version_on
 from layerkit.operators.star import DIMENSIONS, FACT, Dimension
 from layerkit.schemas import ALLOWED_CURRENCIES, AUDIT_COLUMNS, FOREIGN_KEYS, GOLD_STAMP, PRIMARY_KEYS, REASON_COLUMN, REASON_SEPARATOR, ForeignKey, contract
-
+from layerkit.session import concurrently
 from layerkit.sources.scratch import settle
+from layerkit.sources.writers import observed
 
 
 def _except(df: DataFrame, known: Column) -> DataFrame:
@@ -63,6 +65,11 @@ def expectations(df: DataFrame, subject: str, expected: Mapping[str, tuple[Colum
     return one_pass(df, subject, {name: (F.lit(n), F.count_if(test)) for name, (test, n) in expected.items()})
 
 
+def _defects(allowed: Sequence[str], zero_allowed: bool = False) -> dict[str, Column]:
+    low = F.col("amount") < 0 if zero_allowed else F.col("amount") <= 0
+    return {"amount": F.col("amount").isNull() | low, "currency": F.col("currency").isNull() | not_in("currency", allowed)}
+
+
 def no_other_defects(
     df: DataFrame,
     known: Column,
@@ -75,11 +82,9 @@ def no_other_defects(
 ) -> DataFrame:
     """Rows outside the ``known`` defects have none: unique, positive, resolvable, allowed."""
     clean = _except(df, known)
-    low = F.col("amount") < 0 if zero_allowed else F.col("amount") <= 0
-    tests = {"amount": F.col("amount").isNull() | low, "currency": F.col("currency").isNull() | not_in("currency", allowed)}
     return union(
         [
-            none_of(clean, subject, tests),
+            none_of(clean, subject, _defects(allowed, zero_allowed)),
             unique(clean, subject, [key]),
             missing_keys(clean, account, accounts, account, subject, "known_account"),
         ]
@@ -144,25 +149,86 @@ def primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[st
     return union([unique(tables[name], name, columns, "primary_key") for name, columns in keys.items()])
 
 
-def source_validation(tables: Mapping[str, DataFrame], routed: str = "transactions") -> DataFrame:
-    """What must hold at the source before anything is copied.
+@dataclass(frozen=True)
+class Pass:
+    """What one pass over a table yields: counts of broken predicates, and its key columns as a stored table.
+
+    Keys are counted, ``n``, unless single rows are needed; either way every
+    check on keys reads the narrow table and not the source.
+    """
+
+    rows: list[tuple[str, str, int, int]]
+    keys: DataFrame
+
+
+def one_scan(
+    df: DataFrame, subject: str, tests: Mapping[str, Column], keys: Sequence[str], sums: Mapping[str, Column] | None = None, counted: bool = True
+) -> Pass:
+    """Evaluate all predicates and gather all keys of a table in a single pass."""
+    seen = Observation()
+    watched = df.observe(seen, *[F.count_if(test).alias(f"p{i}") for i, test in enumerate(tests.values())])
+    totals = [F.sum(c).alias(name) for name, c in (sums or {}).items()]
+    narrow = watched.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *totals) if counted else watched.select(*keys)
+    stored, _ = settle(narrow)
+    broken = observed(seen)
+    return Pass([(name, subject, 0, broken.get(f"p{i}", 0)) for i, name in enumerate(tests)], stored)
+
+
+def source_validation(
+    tables: Mapping[str, DataFrame], routed: str = "transactions", known: Column | None = None, allowed: Sequence[str] = ALLOWED_CURRENCIES
+) -> DataFrame:
+    """What must hold at the source before anything is copied; each table is scanned once.
 
     Audit columns, NOT NULL columns, primary and foreign keys, owners' weights
-    and version history. Rows of ``routed`` answer to the quality rules later,
-    so their foreign keys are not checked here.
+    and version history. Rows of ``routed`` answer to the quality rules later, so
+    their foreign keys are not checked here. ``known`` marks its rows with
+    defects that are expected: then all others must have none, and none may lie
+    before its account or its owner.
     """
     edges = [edge for edge in FOREIGN_KEYS if edge.child != routed]
-    bridge = weights_sum_to_one(tables["account_customer_bridge"])
-    return union(
-        [
-            audit_nulls(tables),
-            *[not_null(df, name) for name, df in tables.items()],
-            primary_keys(tables),
-            referential_integrity(tables, edges),
-            _count(bridge, "account_customer_bridge", "weights_sum_to_one"),
-            version_history(tables["customer_history"], "customer_id", "customer_history"),
+    keys: dict[str, list[str]] = {name: list(PRIMARY_KEYS.get(name, ())) for name in tables}
+    for edge in edges:
+        keys[edge.child].append(edge.column)
+        keys[edge.parent].append(edge.parent_column)
+    # Single rows of the history are put in order; days are compared for known defects only.
+    keys["customer_history"] += ["effective_to", "is_current"]
+    if known is not None:
+        keys[routed] += ["transaction_id", "account_id", "transaction_timestamp"]
+        keys["accounts"] += ["open_date"]
+
+    def scan(name: str) -> Pass:
+        df = tables[name]
+        absent = missing_columns(df, AUDIT_COLUMNS)
+        tests = {f"filled_{c}": F.lit(True) if c in absent else F.col(c).isNull() for c in AUDIT_COLUMNS}
+        tests |= {f"not_null_{f.name}": F.col(f.name).isNull() for f in contract(name) if not f.nullable and f.name not in absent}
+        if name == routed and known is not None:
+            other = ~F.coalesce(known, F.lit(False))
+            tests |= {check: other & F.coalesce(bad, F.lit(False)) for check, bad in _defects(allowed).items()}
+            df = df.withColumn("__known", ~other)
+        columns = list(dict.fromkeys(keys[name])) + (["__known"] if "__known" in df.columns else [])
+        sums = {"__weight": F.col("allocation_weight").cast("decimal(18,6)")} if name == "account_customer_bridge" else None
+        return one_scan(df, name, tests, columns, sums, counted=name != "customer_history")
+
+    names = list(tables)
+    done = dict(zip(names, concurrently(scan, names)))
+    counted = {name: p.keys for name, p in done.items()}
+    bridge, history = counted["account_customer_bridge"], counted["customer_history"]
+    weight = {name: None if name == "customer_history" else "n" for name in names}
+    parts = [
+        static_report(bridge.sparkSession, [row for p in done.values() for row in p.rows]),
+        *[unique(counted[name], name, columns, "primary_key", weight[name]) for name, columns in PRIMARY_KEYS.items()],
+        *[missing_keys(counted[e.child], e.column, counted[e.parent], e.parent_column, e.label, weight=weight[e.child]) for e in edges],
+        _count(weights_sum_to_one(bridge, weight="__weight"), "account_customer_bridge", "weights_sum_to_one"),
+        version_history(history, "customer_id", "customer_history"),
+    ]
+    if known is not None:
+        clean = counted[routed].filter(~F.col("__known"))
+        parts += [
+            unique(clean, routed, ["transaction_id"], weight="n"),
+            missing_keys(clean, "account_id", counted["accounts"], "account_id", routed, "known_account", weight="n"),
+            temporal_consistency(clean, counted["accounts"], history, weight="n"),
         ]
-    )
+    return union(parts)
 
 
 def weights_sum_to_one(
@@ -366,9 +432,13 @@ def customer_since(history: DataFrame, key: str = "customer_id", start: str = "e
 
 
 def temporal_consistency(
-    transactions: DataFrame, accounts: DataFrame, history: DataFrame, known: Column | None = None
+    transactions: DataFrame, accounts: DataFrame, history: DataFrame, known: Column | None = None, weight: str | None = None
 ) -> DataFrame:
-    """No transaction precedes its account's opening or its owner's first version."""
+    """No transaction precedes its account's opening or its owner's first version.
+
+    ``weight`` names a column with the rows that each transaction stands for.
+    """
     clean = transactions if known is None else _except(transactions, known)
-    tests = {"before_open": F.col("before_open"), "before_customer": F.col("before_customer")}
-    return none_of(premature(clean, accounts, history), "transactions", tests)
+    found = premature(clean, accounts, history)
+    rows = F.lit(1) if weight is None else F.col(weight)
+    return one_pass(found, "transactions", {name: (F.lit(0), F.sum(F.when(F.col(name), rows))) for name in ("before_open", "before_customer")})

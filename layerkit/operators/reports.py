@@ -77,9 +77,12 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
-def unique(df: DataFrame, subject: str, keys: Sequence[str], check: str | None = None) -> DataFrame:
-    """Distinct keys equal rows; copies of a hot key combine before the shuffle."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def unique(df: DataFrame, subject: str, keys: Sequence[str], check: str | None = None, weight: str | None = None) -> DataFrame:
+    """Distinct keys equal rows; copies of a hot key combine before the shuffle.
+
+    ``weight`` names a column with the rows that each row stands for.
+    """
+    counted = df.groupBy(*keys).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"))
     name = check or "unique_" + "_".join(keys)
     return one_pass(counted, subject, {name: (F.sum("n"), F.count(F.lit(1)))})
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerkit import layout as names
 from layerkit.functions import key_year, stamped
 from layerkit.functions.columns import run_time
 from layerkit.layout import Layout
@@ -17,7 +22,7 @@ from layerkit.operators.lookup import lookup_guard
 from layerkit.operators.quarantine import route
 from layerkit.operators.reports import column_rows, enforce, same_count, settled, static_report, union
 from layerkit.operators.rules import FirstCopyRule, KnownKeyRule, RowRule, Rule, evaluate, not_in
-from layerkit.operators.star import DIMENSIONS, FACT, build_dimension, build_fact, resolve_transactions
+from layerkit.operators.star import DIMENSIONS, FACT, Dimension, build_dimension, build_fact, resolve_transactions
 from layerkit.schemas import (
     ALLOWED_CURRENCIES,
     AUDIT_COLUMNS,
@@ -33,9 +38,10 @@ from layerkit.schemas import (
     YEAR_COLUMN,
     business_columns,
 )
+from layerkit.plans.ledger import Ledger
 from layerkit.session import concurrently
-from layerkit.sources.readers import read_layer, source_ready
-from layerkit.sources.writers import publish_if, write_layer
+from layerkit.sources.commits import Staging, publish_if
+from layerkit.sources.readers import read_layer
 
 Reader = Callable[[SparkSession, str], DataFrame]
 ROUTED = "transactions"
@@ -63,35 +69,84 @@ def bronze_columns(df: DataFrame, table: str, at: datetime | None = None) -> Dat
     return landed.withColumn(YEAR_COLUMN, key_year(F.col("date_key"))) if table == ROUTED else landed
 
 
+def _land(staging: Staging, read: Reader, run: Run, table: str) -> list[tuple[str, str, int, int]]:
+    """Read a source table once and write it unseen; its rows as counted on the way and as stored."""
+    source = read(staging.spark, table)
+    name, subject = names.bronze(table), f"bronze.{table}"
+    rows = staging.write(bronze_columns(source, table, run.at), name, [YEAR_COLUMN] if table == ROUTED else [])["rows"]
+    stored = staging.read(name)
+    return [("row_count", subject, rows, stored.count()), *column_rows(stored, subject, source.columns)]
+
+
 def bronze(
     spark: SparkSession,
     layout: Layout,
     read: Reader,
     run: Run = Run(),
     tables: Iterable[str] = TABLES,
-    expected: dict[str, tuple[Column, int]] | None = None,
+    expected: Mapping[str, tuple[Column, int]] | None = None,
 ) -> DataFrame:
-    """Copy source tables as they are. ``expected`` counts known defects."""
+    """Copy source tables as they are, all or none. ``expected`` counts known defects.
 
-    def land(table: str) -> list[tuple[str, str, int, int]]:
-        source = read(spark, table)
-        landed = bronze_columns(source, table, run.at)
-        write_layer(landed, layout.bronze(table), [YEAR_COLUMN] if table == ROUTED else [])
-        stored = spark.read.schema(landed.schema).parquet(layout.bronze(table))
-        subject = f"bronze.{table}"
-        # Counted at the source itself, so that rows lost on the way would show.
-        return [("row_count", subject, source.count(), stored.count()), *column_rows(stored, subject, source.columns)]
+    Each source table is read once. If a check fails, or an error stops the
+    copying, bronze stays as it was.
+    """
 
-    report = static_report(spark, together(land, tables))
-    if expected is None:
-        return report
-    stored = spark.read.parquet(layout.bronze(ROUTED))
-    return report.unionByName(checks.expectations(stored, f"bronze.{ROUTED}", expected))
+    def build(staging: Staging) -> DataFrame:
+        report = static_report(spark, together(lambda table: _land(staging, read, run, table), tables))
+        if expected is None:
+            return report
+        return report.unionByName(checks.expectations(staging.read(names.bronze(ROUTED)), f"bronze.{ROUTED}", expected))
 
+    return publish_if(spark, layout.root, build, settled)
 
-def validate(spark: SparkSession, read: Reader) -> DataFrame:
-    """Checks of the source that must hold before anything is copied."""
-    return checks.source_validation({table: read(spark, table) for table in TABLES}, ROUTED)
+
+def validate(spark: SparkSession, read: Reader, known: Column | None = None, run: Run = Run()) -> DataFrame:
+    """Checks of the source that must hold before anything is copied.
+
+    ``known`` marks transactions with expected defects; given it, no other may have any.
+    """
+    return checks.source_validation({table: read(spark, table) for table in TABLES}, ROUTED, known, run.allowed)
+
+
+def landing(
+    spark: SparkSession,
+    layout: Layout,
+    read: Reader,
+    run: Run = Run(),
+    expected: Mapping[str, tuple[Column, int]] | None = None,
+    known: Column | None = None,
+) -> dict[str, DataFrame]:
+    """Readiness, validation and bronze from one read of each source table.
+
+    Tables land unseen, the landed rows are validated, and only then bronze is
+    published. The first report with a failed check raises.
+    """
+    staging = Staging(spark, layout.root)
+    reports: dict[str, DataFrame] = {}
+
+    def land(table: str) -> list[tuple[str, str, int, int]]:
+        try:
+            source = read(spark, table)
+        except (AnalysisException, Py4JJavaError) as error:
+            logging.getLogger(__name__).warning("%s is not ready: %s", table, error)
+            return []
+        return _land(staging, lambda *_: source, run, table)
+
+    try:
+        found = dict(zip(TABLES, concurrently(land, TABLES)))
+        ready = [("source_ready", t, 1, int(staging.rows.get(names.bronze(t), 0) > 0)) for t in TABLES]
+        reports["ready"] = enforce(static_report(spark, ready))
+        landed = {t: staging.read(names.bronze(t)).drop(*BRONZE_COLUMNS, YEAR_COLUMN) for t in TABLES}
+        reports["validate"] = enforce(validate(spark, lambda _, t: landed[t], known, run))
+        copied = static_report(spark, [row for rows in found.values() for row in rows])
+        if expected is not None:
+            copied = copied.unionByName(checks.expectations(landed[ROUTED], f"bronze.{ROUTED}", expected))
+        reports["bronze"] = enforce(copied)
+        staging.publish()
+        return reports
+    finally:
+        staging.discard()
 
 
 def transaction_rules(accounts: DataFrame, run: Run = Run()) -> list[Rule]:
@@ -111,60 +166,61 @@ def _bronze_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     return read_layer(spark, layout.bronze(table), required)
 
 
-def silver_plain(spark: SparkSession, layout: Layout, table: str, run: Run = Run()) -> list[tuple[str, str, int, int]]:
-    """Pass a table on with a stamp; report that no row or column was lost."""
-    source = _bronze_table(spark, layout, table)
-    passed_on = stamped(source, SILVER_STAMP, run.at)
+def _pass_on(staging: Staging, layout: Layout, table: str, run: Run) -> list[tuple[str, str, int, int]]:
+    """Write a table with a stamp; report that no row or column was lost."""
+    source = _bronze_table(staging.spark, layout, table)
     subject = f"silver.{table}"
+    staging.write(stamped(source, SILVER_STAMP, run.at), names.silver(table))
+    stored = staging.read(names.silver(table))
+    return [("row_count", subject, source.count(), stored.count()), *column_rows(stored, subject, source.columns)]
+
+
+def _route(staging: Staging, layout: Layout, run: Run, reasons: Mapping[object, Sequence[str]] | None) -> DataFrame:
+    """Evaluate the rules once, write valid rows and quarantine, and check both."""
+    spark = staging.spark
+    source = _bronze_table(spark, layout, ROUTED)
+    accounts = staging.read(names.silver("accounts")).select("account_id")
+    valid, quarantined = route(evaluate(source, transaction_rules(accounts, run), from_files=True), run.at)
+    # Two passes over columnar files cost less than caching every wide row.
+    kept = staging.write(valid, names.silver(ROUTED), [YEAR_COLUMN])["rows"]
+    aside = staging.write(quarantined, names.quarantine(ROUTED))["rows"]
+    stored, held = staging.read(names.silver(ROUTED)), staging.read(names.quarantine(ROUTED))
+    parts = [
+        static_report(spark, [("routed_rows", ROUTED, source.count(), kept + aside)]),
+        same_count(ROUTED, source, stored, held, check="row_balance"),
+        checks.clean_transactions(stored, accounts, allowed=run.allowed),
+    ]
+    if reasons:
+        parts.append(checks.expected_reasons(held, "transaction_id", reasons))
+    return union(parts)
 
-    def build(staged: dict[str, str]) -> DataFrame:
-        write_layer(passed_on, staged[layout.silver(table)])
-        stored = spark.read.schema(passed_on.schema).parquet(staged[layout.silver(table)])
-        rows = [("row_count", subject, source.count(), stored.count()), *column_rows(stored, subject, source.columns)]
-        return static_report(spark, rows)
 
-    report = publish_if(spark, [layout.silver(table)], build, settled)
+def silver_plain(spark: SparkSession, layout: Layout, table: str, run: Run = Run()) -> list[tuple[str, str, int, int]]:
+    """One plain table by itself."""
+    report = publish_if(spark, layout.root, lambda staging: static_report(spark, _pass_on(staging, layout, table, run)), settled)
     return [(r["check"], r["subject"], r["expected"], r["actual"]) for r in report.collect()]
 
 
 def silver_routed(
     spark: SparkSession, layout: Layout, run: Run = Run(), reasons: Mapping[object, Sequence[str]] | None = None
 ) -> DataFrame:
-    """Evaluate the rules and write valid rows and quarantine, both or neither.
+    """The routed table by itself: valid rows and quarantine, both or neither.
 
     ``reasons`` lists known bad ids with the reasons they must be held for.
     """
-    source = _bronze_table(spark, layout, ROUTED)
-    accounts = read_layer(spark, layout.silver("accounts"), ["account_id"])
-    evaluated = evaluate(source, transaction_rules(accounts, run), from_files=True)
-    valid, quarantined = route(evaluated, run.at)
-
-    def build(staged: dict[str, str]) -> DataFrame:
-        good, bad = staged[layout.silver(ROUTED)], staged[layout.quarantine(ROUTED)]
-        # Two passes over columnar files cost less than caching every wide row.
-        kept = write_layer(valid, good, [YEAR_COLUMN])
-        aside = write_layer(quarantined, bad)
-        # With a schema, a table without any partition can be read too.
-        stored = spark.read.schema(valid.schema).parquet(good)
-        held = spark.read.schema(quarantined.schema).parquet(bad)
-        parts = [
-            static_report(spark, [("routed_rows", ROUTED, source.count(), kept + aside)]),
-            same_count(ROUTED, source, stored, held, check="row_balance"),
-            checks.clean_transactions(stored, accounts, allowed=run.allowed),
-        ]
-        if reasons:
-            parts.append(checks.expected_reasons(held, "transaction_id", reasons))
-        return union(parts)
-
-    return publish_if(spark, [layout.silver(ROUTED), layout.quarantine(ROUTED)], build, settled)
+    return publish_if(spark, layout.root, lambda staging: _route(staging, layout, run, reasons), settled)
 
 
 def silver(
     spark: SparkSession, layout: Layout, run: Run = Run(), reasons: Mapping[object, Sequence[str]] | None = None
 ) -> DataFrame:
-    """All plain tables, then the routed one, which needs the accounts."""
-    plain = together(lambda table: silver_plain(spark, layout, table, run), PLAIN)
-    return static_report(spark, plain).unionByName(silver_routed(spark, layout, run, reasons))
+    """All plain tables and the routed one, which needs the accounts; all are published, or none."""
+
+    def build(staging: Staging) -> DataFrame:
+        plain = together(lambda table: _pass_on(staging, layout, table, run), PLAIN)
+        return static_report(spark, plain).unionByName(_route(staging, layout, run, reasons))
+
+    return publish_if(spark, layout.root, build, settled)
 
 
 def gold_dimensions(spark: SparkSession, layout: Layout, run: Run = Run()) -> DataFrame:
@@ -173,15 +229,12 @@ def gold_dimensions(spark: SparkSession, layout: Layout, run: Run = Run()) -> Da
         d.name: read_layer(spark, layout.silver(d.source), business_columns(d.source)) for d in DIMENSIONS
     }
 
-    def build(staged: dict[str, str]) -> DataFrame:
-        def write(name: str) -> list[tuple[str, str, int, int]]:
-            dimension = next(d for d in DIMENSIONS if d.name == name)
-            made = build_dimension(dimension, sources[name], run.at, from_files=True)
-            write_layer(made, staged[layout.dimension(name)])
-            return []  # the suites below compare counts
+    def build(staging: Staging) -> DataFrame:
+        def write(dimension: Dimension) -> None:
+            staging.write(build_dimension(dimension, sources[dimension.name], run.at, from_files=True), names.dimension(dimension.name))
 
-        together(write, sources)
-        stored = {name: spark.read.parquet(staged[layout.dimension(name)]) for name in sources}
+        concurrently(write, DIMENSIONS)  # the suites below compare counts
+        stored = {name: staging.read(names.dimension(name)) for name in sources}
         parts = []
         for dimension in DIMENSIONS:
             suite = checks.version_suite if dimension.version_start else checks.dimension_suite
@@ -189,7 +242,7 @@ def gold_dimensions(spark: SparkSession, layout: Layout, run: Run = Run()) -> Da
         links = checks.dimension_links(stored["dim_account"], stored["dim_branch"], stored["dim_customer"])
         return union([*parts, links])
 
-    return publish_if(spark, [layout.dimension(name) for name in sources], build, settled)
+    return publish_if(spark, layout.root, build, settled)
 
 
 def read_dimensions(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -212,14 +265,14 @@ def gold_fact(spark: SparkSession, layout: Layout, run: Run = Run(), on_unresolv
     dims = read_dimensions(spark, layout)
     resolved = resolve_transactions(transactions, *_fact_sides(dims), on_unresolved=on_unresolved)
 
-    def build(staged: dict[str, str]) -> DataFrame:
-        write_layer(build_fact(resolved, run.at), staged[layout.fact(FACT)])
-        stored = spark.read.parquet(staged[layout.fact(FACT)])
+    def build(staging: Staging) -> DataFrame:
+        staging.write(build_fact(resolved, run.at), names.fact(FACT))
+        stored = staging.read(names.fact(FACT))
         rows = transactions.count() if on_unresolved == "keep" else stored.count()
         guards = [lookup_guard(stored, rows, f"{FACT}.{key}", key) for key in ("account_sk", "date_sk", "branch_sk", "customer_sk")]
         return union([*guards, checks.fact_suite(stored, transactions, dims, run.allowed)])
 
-    return publish_if(spark, [layout.fact(FACT)], build, settled)
+    return publish_if(spark, layout.root, build, settled)
 
 
 def _fact_sides(dims: dict[str, DataFrame]) -> Sequence[DataFrame]:
@@ -229,33 +282,50 @@ def _fact_sides(dims: dict[str, DataFrame]) -> Sequence[DataFrame]:
 def gold_validation(spark: SparkSession, layout: Layout) -> DataFrame:
     """Independent recheck of the stored fact."""
     fact = read_layer(spark, layout.fact(FACT), [GOLD_STAMP])
-    source = spark.read.parquet(layout.silver(ROUTED))
+    source = read_layer(spark, layout.silver(ROUTED))
     return checks.fact_recheck(fact, source, read_dimensions(spark, layout))
 
 
+def _rows(report: DataFrame) -> list[tuple[str, str, int, int]]:
+    return [(r["check"], r["subject"], r["expected"], r["actual"]) for r in report.collect()]
+
+
 def run_all(
     spark: SparkSession,
     layout: Layout,
     read: Reader,
     run: Run = Run(),
-    expected: dict[str, tuple[Column, int]] | None = None,
+    expected: Mapping[str, tuple[Column, int]] | None = None,
     reasons: Mapping[object, Sequence[str]] | None = None,
+    known: Column | None = None,
+    run_id: str | None = None,
+    attempts: int = 2,
+    wait: float = 0.0,
 ) -> DataFrame:
     """Every stage in order; a failed report stops the run.
 
     ``expected`` counts known defects at the source, ``reasons`` says for what
-    known bad ids must end in quarantine.
+    known bad ids must end in quarantine, ``known`` marks all rows that may have
+    defects. A stage that fails by an error is tried ``attempts`` times in all,
+    ``wait`` seconds apart. Reports are kept under ``run_id``: a run that was
+    broken off and is started again under the same id takes up where it stopped.
     """
-    stages: list[tuple[str, Callable[[], DataFrame]]] = [
-        ("ready", lambda: source_ready(spark, TABLES, read)),
-        ("validate", lambda: validate(spark, read)),
-        ("bronze", lambda: bronze(spark, layout, read, run, expected=expected)),
-        ("silver", lambda: silver(spark, layout, run, reasons)),
-        ("dimensions", lambda: gold_dimensions(spark, layout, run)),
-        ("fact", lambda: gold_fact(spark, layout, run)),
-        ("validation", lambda: gold_validation(spark, layout)),
+    ledger = Ledger(spark, layout.root, run_id or uuid.uuid4().hex)
+
+    def one(name: str, stage: Callable[[], DataFrame]) -> Callable[[], dict[str, list[tuple[str, str, int, int]]]]:
+        return lambda: {name: _rows(enforce(stage()))}
+
+    bronze_tables, silver_tables = [names.bronze(t) for t in TABLES], [names.silver(t) for t in TABLES]
+    stages: list[tuple[str, Callable, list[str]]] = [
+        # Each source table is read once for the first three.
+        ("bronze", lambda: {n: _rows(r) for n, r in landing(spark, layout, read, run, expected, known).items()}, bronze_tables),
+        ("silver", one("silver", lambda: silver(spark, layout, run, reasons)), [*silver_tables, names.quarantine(ROUTED)]),
+        ("dimensions", one("dimensions", lambda: gold_dimensions(spark, layout, run)), [names.dimension(d.name) for d in DIMENSIONS]),
+        ("fact", one("fact", lambda: gold_fact(spark, layout, run)), [names.fact(FACT)]),
+        ("validation", one("validation", lambda: gold_validation(spark, layout)), []),
     ]
-    reports = []
-    for name, stage in stages:
-        reports.append(enforce(stage()).withColumn("stage", F.lit(name)))
-    return union(reports)
+    parts = []
+    for stage, work, tables in stages:
+        for name, rows in ledger.run(stage, work, tables, attempts, wait).items():
+            parts.append(static_report(spark, rows).withColumn("stage", F.lit(name)))
+    return union(parts)

@@ -66,7 +66,8 @@ GOLD_STAMP = "gold_processed_at"
 YEAR_COLUMN = "transaction_year"
 OPEN_END = "9999-12-31"
 DATE_FORMAT = "yyyy-MM-dd"
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+SECOND_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+TIMESTAMP_FORMAT = f"{SECOND_FORMAT}[.SSSSSS][.SSS]'Z'"
 
 
 @dataclass(frozen=True)

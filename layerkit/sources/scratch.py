@@ -19,7 +19,7 @@ BROADCAST_ROWS = 1_000_000
 def settle(df: DataFrame) -> tuple[DataFrame, int]:
     """Write ``df`` once; return the stored table and its number of rows."""
     path = scratch_path(df.sparkSession, "settled")
-    rows = write_layer(df, path)
+    rows = write_layer(df, path, keep_schema=False)
     return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
