@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerkit.operators.rowid import ROW_ID, with_row_id
-from layerkit.sources.scratch import BROADCAST_ROWS, settle, sized
+from layerkit.sources.scratch import settle, sized
 
 GROUP_ROWS = 5_000_000
 SINGLE_TASK_ROWS = 1_000_000
@@ -51,10 +51,8 @@ def heavy_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROW
         return None
     fraction = min(1.0, SAMPLE_ROWS / group_rows)
     counted = df.select(F.xxhash64(*keys).alias("__h")).sample(fraction, seed=11).groupBy("__h").count()
-    found, rows = settle(counted.filter(F.col("count") > group_rows * fraction / 2).select("__h"))
-    if not rows:
-        return None
-    return F.broadcast(found) if rows <= BROADCAST_ROWS else found
+    found = sized(counted.filter(F.col("count") > group_rows * fraction / 2).select("__h"))
+    return found.df if found.rows else None
 
 
 def _split(df: DataFrame, keys: Sequence[str], group_rows: int) -> tuple[DataFrame, DataFrame | None]:
@@ -140,7 +138,7 @@ def rank_in_group(
         return ranked
     numbered = sliced_number(heavy, [*keys, *order_by], "__number")
     # At most one row per heavy key, and heavy keys are few.
-    starts = sized(numbered.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.min("__number").alias("__start")))
+    starts = sized(numbered.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.min("__number").alias("__start"))).df
     joined = numbered.join(starts, _same(numbered, starts, [(k, f"__k_{k}") for k in keys]))
     return ranked.unionByName(
         joined.select(*_kept(df), (F.col("__number") - F.col("__start") + 1).alias(name))

@@ -3,8 +3,8 @@
 Rules that look beyond their own row work by exception. The offending keys are
 found from the key columns alone, with map-side combining so a hot key
 collapses before it is shuffled. The wide rows are then marked by joining that
-normally small set, which is broadcast when it measures small. Wide rows are
-not shuffled in that case.
+normally small set, which is broadcast when it measures small. Of a larger set a
+filter is broadcast, so only rows that may offend are shuffled.
 """
 
 from __future__ import annotations
@@ -16,10 +16,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerkit.functions import join_reasons
+from layerkit.operators.membership import Filter
 from layerkit.operators.rowid import ROW_ID, spread, with_row_id
 from layerkit.schemas import REASON_COLUMN, REASON_SEPARATOR
 from layerkit.session import concurrently
-from layerkit.sources.scratch import sized
+from layerkit.sources.scratch import Side, settle, sized
+
+
+@dataclass(frozen=True)
+class Offenders:
+    """The keys that break a rule, under names of their own, and the columns that are compared with them."""
+
+    side: Side
+    pairs: tuple[tuple[str, str], ...]  # (column of the rows, column of the keys)
+
+    def join(self, df: DataFrame) -> DataFrame:
+        """Every row, next to its offending key if it has one; NULL equals NULL."""
+        same = F.lit(True)
+        for mine, theirs in self.pairs:
+            same = same & df[mine].eqNullSafe(self.side.df[theirs])
+        return df.join(self.side.df, same, "left")
+
+    def flag(self, df: DataFrame, name: str) -> DataFrame:
+        """Whether a row may have an offending key, by a broadcast filter over the keys."""
+        made = Filter.of(self.side.df, [theirs for _, theirs in self.pairs], self.side.rows)
+        return made.flag(df, [mine for mine, _ in self.pairs], name)
 
 
 @dataclass(frozen=True)
@@ -29,11 +50,11 @@ class RowRule:
     reason: str
     bad: Column
 
-    def find(self, df: DataFrame, tag: str) -> DataFrame | None:
+    def find(self, df: DataFrame, tag: str) -> Offenders | None:
         return None
 
-    def mark(self, df: DataFrame, found: DataFrame | None, tag: str) -> tuple[DataFrame, Column]:
-        return df, self.bad
+    def broken(self, tag: str) -> Column:
+        return self.bad
 
 
 @dataclass(frozen=True)
@@ -48,7 +69,7 @@ class FirstCopyRule:
     keys: tuple[str, ...]
     order_by: tuple[str, ...]
 
-    def find(self, df: DataFrame, tag: str) -> DataFrame | None:
+    def find(self, df: DataFrame, tag: str) -> Offenders | None:
         """Repeated keys, each with its first row.
 
         Keys alone are counted first, which hashes them; only rows of repeated
@@ -57,19 +78,16 @@ class FirstCopyRule:
         names = [f"{tag}_{k}" for k in self.keys]
         keys = [F.col(k).alias(n) for k, n in zip(self.keys, names)]
         counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        repeated = sized(counted.select(*[F.col(n).alias(f"{n}_again") for n in names]))
+        repeated = sized(counted.select(*[F.col(n).alias(f"{n}_again") for n in names])).df
         same = F.lit(True)
         for n in names:
             same = same & F.col(n).eqNullSafe(F.col(f"{n}_again"))
         rows = df.select(*keys, F.struct(*self.order_by, F.col(ROW_ID).alias("row")).alias("at"))
         first = rows.join(repeated, same, "left_semi").groupBy(*names).agg(F.min("at").alias("first"))
-        return sized(first.select(*names, F.col("first.row").alias(f"{tag}_row")))
+        return Offenders(sized(first.select(*names, F.col("first.row").alias(f"{tag}_row"))), tuple(zip(self.keys, names)))
 
-    def mark(self, df: DataFrame, found: DataFrame | None, tag: str) -> tuple[DataFrame, Column]:
-        same = F.lit(True)
-        for key in self.keys:
-            same = same & df[key].eqNullSafe(found[f"{tag}_{key}"])
-        return df.join(found, same, "left"), F.col(f"{tag}_row") != F.col(ROW_ID)
+    def broken(self, tag: str) -> Column:
+        return F.col(f"{tag}_row") != F.col(ROW_ID)
 
 
 @dataclass(frozen=True)
@@ -81,20 +99,52 @@ class KnownKeyRule:
     reference: DataFrame
     reference_column: str
 
-    def find(self, df: DataFrame, tag: str) -> DataFrame | None:
+    def find(self, df: DataFrame, tag: str) -> Offenders | None:
         """Keys in use that the reference lacks."""
         known = self.reference.select(F.col(self.reference_column).alias(f"{tag}_key"))
         present = df.select(F.col(self.column).alias(f"{tag}_key")).filter(F.col(f"{tag}_key").isNotNull())
-        return sized(present.distinct().join(known, f"{tag}_key", "left_anti"))
+        return Offenders(sized(present.distinct().join(known, f"{tag}_key", "left_anti")), ((self.column, f"{tag}_key"),))
 
-    def mark(self, df: DataFrame, found: DataFrame | None, tag: str) -> tuple[DataFrame, Column]:
-        marked = df.join(found, df[self.column] == found[f"{tag}_key"], "left")
-        return marked, F.col(f"{tag}_key").isNotNull()
+    def broken(self, tag: str) -> Column:
+        return F.col(f"{tag}_key").isNotNull()
 
 
 Rule = RowRule | FirstCopyRule | KnownKeyRule
 
 
+def judged(df: DataFrame, rules: Sequence[Rule], found: Sequence[Offenders | None], into: str, separator: str) -> tuple[DataFrame, bool]:
+    """Rows with the reasons of their broken rules, and whether any row is shuffled for it.
+
+    Small sets of offending keys are broadcast. Of larger ones a filter is: rows
+    that it clears of all of them are judged as they stand, the others meet the
+    sets by shuffle.
+    """
+    tags = [f"__rule{position}" for position in range(len(rules))]
+    kept = [c for c in df.columns if c != ROW_ID]
+    large = [position for position, offenders in enumerate(found) if offenders is not None and not offenders.side.small]
+    work = df
+    for offenders in found:
+        if offenders is not None and offenders.side.small:
+            work = offenders.join(work)
+
+    def with_reasons(rows: DataFrame, cleared: Sequence[int]) -> DataFrame:
+        flags = [
+            F.when(F.lit(False) if position in cleared else rule.broken(tag), F.lit(rule.reason))
+            for position, (rule, tag) in enumerate(zip(rules, tags))
+        ]
+        return rows.select(*kept, join_reasons(flags, separator).alias(into))
+
+    if not large:
+        return with_reasons(work, ()), False
+    for position in large:
+        work = found[position].flag(work, f"{tags[position]}_maybe")
+    suspect = F.greatest(*[F.col(f"{tags[p]}_maybe") for p in large], F.lit(False))
+    suspects = work.filter(suspect)
+    for position in large:
+        suspects = found[position].join(suspects)
+    return with_reasons(work.filter(~suspect), large).unionByName(with_reasons(suspects, ())), True
+
+
 def evaluate(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -107,19 +157,16 @@ def evaluate(
     All rules see the same rows: the first copy of a key is chosen before the
     other rules apply, so a key whose first copy is invalid keeps no valid row.
     A row id that ``df`` already carries is used and left out of the result.
+    Where a set of offending keys was too large to be broadcast, the result is
+    written, so that valid and quarantined rows do not each repeat the joins.
     """
     work = df
     if ROW_ID not in df.columns and any(isinstance(r, FirstCopyRule) for r in rules):
         work = spread(with_row_id(df, from_files))
-    tagged = [(f"__rule{position}", rule) for position, rule in enumerate(rules)]
     source = work
-    found = concurrently(lambda item: item[1].find(source, item[0]), tagged)
-    flags = []
-    for (tag, rule), exceptions in zip(tagged, found):
-        work, bad = rule.mark(work, exceptions, tag)
-        flags.append(F.when(bad, F.lit(rule.reason)))
-    kept = [c for c in df.columns if c != ROW_ID]
-    return work.select(*kept, join_reasons(flags, separator).alias(into))
+    found = concurrently(lambda item: item[1].find(source, f"__rule{item[0]}"), list(enumerate(rules)))
+    result, shuffled = judged(work, rules, found, into, separator)
+    return settle(result)[0] if shuffled else result
 
 
 def not_in(column: str, allowed: Sequence[object]) -> Column:

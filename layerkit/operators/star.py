@@ -14,7 +14,7 @@ from layerkit.operators.lookup import dimension_lookup
 from layerkit.operators.ordered import surrogate_key
 from layerkit.operators.scd2 import build_versions, version_as_of
 from layerkit.schemas import GOLD_STAMP, business_columns
-from layerkit.sources.scratch import BROADCAST_ROWS
+from layerkit.sources.scratch import BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -89,9 +89,9 @@ def resolve_transactions(
         raise ValueError(f"on_unresolved must be keep or drop, not {on_unresolved}")
     # Everything depends on the account and the day alone, so pairs are resolved once.
     pairs = transactions.select("account_id", "date_key").distinct()
-    dated = dimension_lookup(pairs, dim_date, "date_key", ["date_sk", "full_date"], BROADCAST_ROWS)
+    dated = dimension_lookup(pairs, dim_date, "date_key", ["date_sk", "full_date"], BROADCAST_BYTES)
     accounts = dim_account.select("account_sk", "account_id", "customer_id", "branch_id")
-    with_branch = dimension_lookup(accounts, dim_branch, "branch_id", ["branch_sk"], BROADCAST_ROWS)
+    with_branch = dimension_lookup(accounts, dim_branch, "branch_id", ["branch_sk"], BROADCAST_BYTES)
     owned = dated.join(with_branch.drop("branch_id"), "account_id", "left")
     found = version_as_of(owned, dim_customer, "customer_id", "full_date", ["customer_sk", "effective_to"], how="left")
     holds = F.col("customer_sk").isNotNull() & (F.col("effective_to").isNull() | (F.col("full_date") <= F.col("effective_to")))

@@ -6,14 +6,40 @@ recomputing, and every later pass sees the same rows in the same places.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DecimalType, MapType, StringType, StructType, VarcharType
 
 from layerkit.session import scratch_path
 from layerkit.sources.writers import write_layer
 
-# Key rows carry a handful of narrow columns, so this stays near 100 MB.
-BROADCAST_ROWS = 1_000_000
+# What a task can hold of a broadcast side, as rows of the join's hash table.
+BROADCAST_BYTES = 64 << 20
+# Bytes that a row of such a table takes besides its values.
+ROW_OVERHEAD = 32
+
+
+def _value_bytes(value: Column, kind: DataType) -> Column:
+    """Bytes of a value beyond its eight-byte slot."""
+    if isinstance(kind, (StringType, VarcharType, BinaryType)):
+        return F.coalesce(F.octet_length(value).cast("long"), F.lit(0))
+    if isinstance(kind, StructType):
+        return _fields_bytes([(value[f.name], f.dataType) for f in kind])
+    if isinstance(kind, (ArrayType, MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.array(value))).cast("long"), F.lit(0))
+    return F.lit(16 if isinstance(kind, DecimalType) and kind.precision > 18 else 0)
+
+
+def _fields_bytes(fields: list[tuple[Column, DataType]]) -> Column:
+    return reduce(lambda a, b: a + b, [_value_bytes(c, kind) + 8 for c, kind in fields], F.lit(0).cast("long"))
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes that a row takes in memory, by its own values."""
+    return _fields_bytes([(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]) + ROW_OVERHEAD
 
 
 def settle(df: DataFrame) -> tuple[DataFrame, int]:
@@ -23,11 +49,25 @@ def settle(df: DataFrame) -> tuple[DataFrame, int]:
     return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
-def sized(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+@dataclass(frozen=True)
+class Side:
+    """A written join side, with a broadcast hint if it is ``small``."""
+
+    df: DataFrame
+    rows: int
+    bytes: int
+    small: bool
+
+
+def sized(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Side:
     """Settle a join side and broadcast it only when it measured small.
 
-    Above the bound the side is returned without a hint and joins by shuffle,
-    where adaptive execution splits skewed keys.
+    Its bytes in memory are added up by the write itself, so long keys count for
+    what they are. Above the bound the side joins by shuffle, where adaptive
+    execution splits skewed keys.
     """
-    stored, rows = settle(df)
-    return F.broadcast(stored) if rows <= broadcast_rows else stored
+    path = scratch_path(df.sparkSession, "sized")
+    seen = write_layer(df, path, keep_schema=False, observe={"bytes": F.sum(row_bytes(df))})
+    stored, size = df.sparkSession.read.schema(df.schema).parquet(path), seen["bytes"] or 0
+    small = size <= broadcast_bytes and broadcast_bytes > 0
+    return Side(F.broadcast(stored) if small else stored, seen["rows"], size, small)
