@@ -21,12 +21,17 @@ def build_versions(
     current: str = "is_current",
     from_files: bool = False,
     group_rows: int = GROUP_ROWS,
+    rows: int | None = None,
+    number: str | None = None,
 ) -> DataFrame:
     """Close each version the day before the next one starts.
 
     Ends and current flags of the source are recomputed, which also closes gaps.
+    ``number`` names a unique column in the order of versions, if there is one;
+    ``rows`` is their number, if it is known.
     """
-    ahead = neighbour(history, [key], [start], start, "__next", 1, from_files, group_rows)
+    order = [start] if number is None else [start, number]
+    ahead = neighbour(history, [key], order, start, "__next", 1, from_files, group_rows, rows, number is not None)
     return ahead.withColumns(
         {end: F.date_sub("__next", 1), current: F.col("__next").isNull()}
     ).drop("__next")

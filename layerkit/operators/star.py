@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from layerkit.functions import stamped
 from layerkit.operators.lookup import dimension_lookup
-from layerkit.operators.ordered import surrogate_key
+from layerkit.operators.ordered import named_rows, surrogate_key
 from layerkit.operators.scd2 import build_versions, version_as_of
 from layerkit.schemas import GOLD_STAMP, business_columns
-from layerkit.sources.scratch import BROADCAST_BYTES
+from layerkit.sources.scratch import BROADCAST_BYTES, settle
 
 
 @dataclass(frozen=True)
@@ -59,10 +59,11 @@ def build_dimension(
 
     Keys are dealt anew on each build, so dimensions and fact are built together.
     """
-    # Number first: the source is still a plain scan, cheap to count and re-read.
-    keyed = surrogate_key(source, dimension.grain, dimension.surrogate, from_files)
+    # Named and counted once; the new key then orders versions without ties.
+    named, rows = named_rows(source, from_files)
+    keyed = surrogate_key(named, dimension.grain, dimension.surrogate, rows=rows)
     if dimension.version_start is not None:
-        keyed = build_versions(keyed, dimension.key, dimension.version_start)
+        keyed = build_versions(keyed, dimension.key, dimension.version_start, rows=rows, number=dimension.surrogate)
     shown = business_columns(dimension.source) if columns is None else columns
     return stamped(keyed.select(dimension.surrogate, *shown), GOLD_STAMP, at)
 
@@ -92,7 +93,8 @@ def resolve_transactions(
     dated = dimension_lookup(pairs, dim_date, "date_key", ["date_sk", "full_date"], BROADCAST_BYTES)
     accounts = dim_account.select("account_sk", "account_id", "customer_id", "branch_id")
     with_branch = dimension_lookup(accounts, dim_branch, "branch_id", ["branch_sk"], BROADCAST_BYTES)
-    owned = dated.join(with_branch.drop("branch_id"), "account_id", "left")
+    # Written, since finding versions reads the pairs twice and pairs come from a scan of all transactions.
+    owned, _ = settle(dated.join(with_branch.drop("branch_id"), "account_id", "left"))
     found = version_as_of(owned, dim_customer, "customer_id", "full_date", ["customer_sk", "effective_to"], how="left")
     holds = F.col("customer_sk").isNotNull() & (F.col("effective_to").isNull() | (F.col("full_date") <= F.col("effective_to")))
     keys = [F.when(holds, F.col(c)).alias(c) for c in ("account_sk", "branch_sk", "customer_sk")]

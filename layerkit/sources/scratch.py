@@ -49,6 +49,19 @@ def settle(df: DataFrame) -> tuple[DataFrame, int]:
     return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
+def settle_by(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """Write ``df`` once in buckets of a column; grouping or ordering by that column then needs no shuffle.
+
+    Bucketed files belong to a table of the session's catalogue, here one of a
+    name of its own over a scratch folder.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "bucketed")
+    name = f"layerkit_{path.rsplit('-', 1)[1]}"
+    df.write.mode("overwrite").bucketBy(buckets, column).option("path", path).format("parquet").saveAsTable(name)
+    return spark.read.table(name)
+
+
 @dataclass(frozen=True)
 class Side:
     """A written join side, with a broadcast hint if it is ``small``."""

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from layerkit.operators.ordered import heavy_groups, neighbour, rank_in_group, sliced_number, surrogate_key
+from layerkit.operators.ordered import _order, heavy_groups, neighbour, rank_in_group, sliced_neighbour, sliced_number, surrogate_key
+from layerkit.operators.rowid import with_row_id
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +86,29 @@ def test_sliced_equals_global_window(spark, values):
     df = spark.createDataFrame(list(enumerate(values)), "id INT, v INT")
     expected = as_map(df.withColumn("n", F.row_number().over(Window.orderBy("v", "id")).cast("long")), "n")
     assert as_map(sliced_number(df, ["v", "id"], "n"), "n") == expected
+
+
+@pytest.mark.parametrize("step", [1, -1, 2, -3])
+@pytest.mark.parametrize("slices", [1, 7, 60])
+def test_edges_are_handed_on_over_many_slices(spark, skewed, step, slices):
+    """Slices of a few rows, some shorter than the step: the neighbours are those of one window."""
+    named = with_row_id(skewed)
+    found = sliced_neighbour(named, ["k"], _order(["v", "id"]), "v", "n", step, slices)
+    assert as_map(found, "n") == as_map(skewed.withColumn("n", F.lead("v", step).over(window())), "n")
+
+
+def test_heavy_rows_are_shuffled_once(spark, skewed):
+    """One range exchange before the slices are written; reading them needs none."""
+    named = with_row_id(skewed)
+    found = sliced_neighbour(named, ["k"], _order(["v", "id"]), "v", "n", 1, 8)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.split("\n") if "Exchange" in line and "Broadcast" not in line and "__at" in line]
+    assert "SortMergeJoin" not in plan and "Window" in plan and not wide
+
+
+def test_a_known_count_and_a_unique_order_change_nothing(skewed):
+    keyed = surrogate_key(skewed, ["k", "v", "id"], "sk")
+    plain = as_map(neighbour(skewed, ["k"], ["v", "id"], "v", "n"), "n")
+    for rows in (600, None):
+        assert as_map(neighbour(keyed, ["k"], ["v", "sk"], "v", "n", total=True, rows=rows), "n") == plain
+        assert as_map(neighbour(keyed, ["k"], ["v", "sk"], "v", "n", total=True, rows=rows, group_rows=50), "n") == plain
