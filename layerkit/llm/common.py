@@ -18,8 +18,10 @@ from layerkit.sources.scratch import settle
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-# 4 MB of bits, whatever the table: enough to spare most rows a shuffle.
-BITMAP_BITS = 1 << 25
+# Bitmaps grow with the keys that were counted, up to 32 MB.
+KEY_BITS = 8
+LEAST_BITS = 1 << 15
+MOST_BITS = 1 << 28
 DROPPED_ROWS = 1_000_000
 
 
@@ -82,13 +84,20 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return with_row_id(docs, from_files=True).join(kept, ROW_ID, "left_anti").select(*docs.columns)
 
 
-def key_bitmap(keys: DataFrame, column: str) -> bytes:
-    """A fixed number of bits, set for each key modulo that number.
+def bitmap_bits(keys: int) -> int:
+    """Bits for a measured number of keys: a power of two, eight a key or more."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (KEY_BITS * max(keys, 1) - 1).bit_length()))
 
-    A set bit means perhaps, so what it lets pass must be joined exactly. The
-    size never depends on the table; with very many keys it only filters less.
+
+def key_bitmap(keys: DataFrame, column: str, count: int) -> bytes:
+    """Bits by the measured number of keys, set for each key modulo their number.
+
+    A set bit means perhaps, so what it lets pass must be joined exactly. Up to
+    ``MOST_BITS / KEY_BITS`` keys, 33 million, at most one bit in eight is set;
+    with more keys more passes.
     """
-    bit = F.pmod(F.col(column), F.lit(BITMAP_BITS)) + 1
+    bits = bitmap_bits(count)
+    bit = F.pmod(F.col(column), F.lit(bits)) + 1
     parts = (
         keys.select(F.bitmap_bucket_number(bit).alias("part"), F.bitmap_bit_position(bit).alias("position"))
         .groupBy("part")
@@ -96,11 +105,11 @@ def key_bitmap(keys: DataFrame, column: str) -> bytes:
         .collect()
     )
     size = 4096  # bytes in one of Spark's bitmaps
-    bits = bytearray(BITMAP_BITS // 8)
+    held = bytearray(bits // 8)
     for part in parts:
         start = (part["part"] - 1) * size
-        bits[start : start + size] = part["bits"]
-    return bytes(bits)
+        held[start : start + size] = part["bits"]
+    return bytes(held)
 
 
 def _edges(pairs: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm.common import BITMAP_BITS, components, key_bitmap, mapped, numbered, small_batches, table, without_rows
+from layerkit.llm.common import components, key_bitmap, mapped, numbered, small_batches, table, without_rows
 from layerkit.llm.shingles import mix, shingle_sets
 from layerkit.operators.rowid import in_place
 from layerkit.sources.scratch import settle
@@ -54,6 +54,8 @@ BATCH_KEYS = 1 << 18
 # A passage in about one text of 3,000 or more counts as common.
 SAMPLE_TEXTS = 10_000
 COMMON_TEXTS = 3
+# At most 4 MB reach the driver and the tasks.
+COMMON_SHINGLES = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -172,12 +174,14 @@ def _listed(width: int):
 def common_shingles(rows: DataFrame, width: int) -> np.ndarray:
     """Shingles that several of about ``SAMPLE_TEXTS`` texts hold, sorted.
 
-    They only steer which keys are made: any list gives the same links.
+    They only steer which keys are made: any list gives the same links. Long texts
+    may hold any number, so the ``COMMON_SHINGLES`` most frequent are taken.
     """
     total = rows.count()
     draw = F.pmod(F.xxhash64("file", "at"), F.lit(1_000_000)) < 1_000_000 * min(1.0, SAMPLE_TEXTS / max(1, total))
     counted = mapped(rows.where(draw).select("text"), _listed(width), "shingle long").groupBy("shingle").count()
-    found = counted.where(F.col("count") >= COMMON_TEXTS).select("shingle").toArrow().column(0).to_numpy()
+    held = counted.where(F.col("count") >= COMMON_TEXTS).orderBy(F.desc("count"), "shingle").limit(COMMON_SHINGLES)
+    found = held.select("shingle").toArrow().column(0).to_numpy()
     return np.sort(found.view(np.uint64))
 
 
@@ -197,7 +201,7 @@ def _signer(width: int):
 
 
 def _hits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys & np.int64(BITMAP_BITS - 1)
+    at = keys & np.int64(8 * len(bits) - 1)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -368,23 +372,23 @@ def _similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
     counted = signed.where("size > 0").groupBy("id", "size").agg(
         F.min("doc_id").alias("least"), F.min(F.struct("file", "at")).alias("row")
     )
-    classes, _ = settle(counted)
+    classes, number = settle(counted)
 
     # A copy that passes the bitmap makes its class meet itself, which ties nothing.
     mark = F.xxhash64("file", "at").alias("mark")
-    marks = key_bitmap(classes.select(F.xxhash64("row.file", "row.at").alias("mark")), "mark")
+    marks = key_bitmap(classes.select(F.xxhash64("row.file", "row.at").alias("mark")), "mark", number)
     common = common_shingles(rows, rule.width)
     texts = rows.select("file", "at", mark, "text")
     counted = mapped(texts.select("mark", "text"), _keys(marks, rule, common), "key long").groupBy("key").count()
-    shared, _ = settle(counted.where("count > 1").select("key"))
-    held = mapped(texts.select("mark", "text"), _keys(marks, rule, common, key_bitmap(shared, "key")), "id long, key long")
+    shared, some = settle(counted.where("count > 1").select("key"))
+    held = mapped(texts.select("mark", "text"), _keys(marks, rule, common, key_bitmap(shared, "key", some)), "id long, key long")
     members, _ = settle(held.join(shared, "key", "left_semi").distinct())
     ends = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     near = members.join(ends, "key").select(F.col("id").alias("a"), F.col("low").alias("b"))
     groups = components(near).select(F.col("node").alias("id"), "root")
 
-    wanted, _ = settle(classes.join(groups, "id").select("id", "size", "root", "row.file", "row.at"))
-    bits = key_bitmap(wanted.select(mark), "mark")
+    wanted, some = settle(classes.join(groups, "id").select("id", "size", "root", "row.file", "row.at"))
+    bits = key_bitmap(wanted.select(mark), "mark", some)
     read = mapped(texts, _sets(bits, rule.width), "file long, at long, hashes binary")
     sets, _ = settle(read.join(wanted, ["file", "at"]).select("id", "hashes"))
     placed = _tiles(wanted.select("id", "size", "root"), rule).join(sets, "id")
