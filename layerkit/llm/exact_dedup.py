@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -28,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerkit.llm.common import BITMAP_BITS, key_bitmap, mapped, numbered, table, without_rows
+from layerkit.llm.common import key_bitmap, mapped, numbered, table, without_rows
 from layerkit.llm.shingles import mix
 from layerkit.operators.rowid import in_place
+from layerkit.sources.readers import read_layer
 from layerkit.sources.scratch import settle
+from layerkit.sources.writers import write_layer
 
 BUCKET_DIGESTS = 50_000
 _SEED_STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -59,7 +62,7 @@ def _copies(bits: bytes):
             pairs = []
             for text in _normal(batch):
                 digest = hashlib.sha256(text).digest()
-                at = int.from_bytes(digest[:8], "little") % BITMAP_BITS
+                at = int.from_bytes(digest[:8], "little") % (8 * len(bits))
                 if bits[at >> 3] >> (at & 7) & 1:
                     pairs.append((digest, text))
             columns = zip(*pairs) if pairs else ([], [])
@@ -157,6 +160,55 @@ def screened(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame
     return placed.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(_screen, "digest binary, hit boolean")
 
 
+def _newest() -> Column:
+    return F.max(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "file", "at"))
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """Digests of a table with their filters, written once under a path and opened by any later job.
+
+    Batches are screened against what is stored: no filter is built again, and
+    only digests that a filter lets pass meet the stored ones.
+    """
+
+    digests: DataFrame  # digest, mark, keep_id: one row each
+    filters: DataFrame
+    buckets: int
+
+    @staticmethod
+    def build(docs: DataFrame, path: str, bucket_digests: int = BUCKET_DIGESTS) -> Snapshot:
+        spark = docs.sparkSession
+        read = mapped(numbered(in_place(docs), "doc_id", "text"), _digests, "file long, at long, doc_id long, digest binary, mark long")
+        held = read.groupBy("digest", "mark").agg(_newest().alias("keep")).select("digest", "mark", F.col("keep.doc_id").alias("keep_id"))
+        rows = write_layer(held, f"{path}/digests")
+        buckets = max(8, rows // bucket_digests)
+        digests = read_layer(spark, f"{path}/digests")
+        write_layer(fuse_filters(digests, buckets).withColumn("buckets", F.lit(buckets)), f"{path}/filters")
+        return Snapshot.open(spark, path)
+
+    @staticmethod
+    def open(spark: SparkSession, path: str) -> Snapshot:
+        filters = read_layer(spark, f"{path}/filters")
+        return Snapshot(read_layer(spark, f"{path}/digests"), filters.drop("buckets"), filters.agg(F.max("buckets")).first()[0] or 8)
+
+    def incoming(self, docs: DataFrame) -> DataFrame:
+        """``(file, at, doc_id, digest, known, keep_id)`` of each row of a batch.
+
+        ``known`` says that the snapshot holds the text; ``keep_id`` is the row
+        that stays, the snapshot's or else the batch's own with the largest doc_id.
+        """
+        read = mapped(numbered(in_place(docs), "doc_id", "text"), _digests, "file long, at long, doc_id long, digest binary, mark long")
+        rows, _ = settle(read)
+        groups = rows.groupBy("digest", "mark").agg(_newest().alias("keep"))
+        passed = screened(groups, self.filters, self.buckets).where("hit").select("digest")
+        held = self.digests.join(passed, "digest", "left_semi").select("digest", F.lit(True).alias("known"), F.col("keep_id").alias("held_id"))
+        kept = F.when(F.col("known"), F.col("held_id")).otherwise(F.col("keep.doc_id")).alias("keep_id")
+        known = F.coalesce("known", F.lit(False)).alias("known")
+        settled, _ = settle(groups.join(held, "digest", "left").select("digest", known, kept))
+        return rows.join(settled, "digest").select("file", "at", "doc_id", "digest", "known", "keep_id")
+
+
 def copy_groups(docs: DataFrame, in_snapshot: Column | None = None) -> DataFrame:
     """One row ``(file, at, doc_id, digest, keep_id, group_size, kept)`` per row of ``docs``.
 
@@ -189,8 +241,8 @@ def copy_groups(docs: DataFrame, in_snapshot: Column | None = None) -> DataFrame
     fresh = new.where("not hit").select("digest", F.col("n").alias("group_size"), "keep")
     groups, _ = settle(exact.unionByName(fresh))
 
-    marks = groups.where("group_size > 1").join(grouped.select("digest", "mark").distinct(), "digest")
-    texts = mapped(rows.select("text"), _copies(key_bitmap(marks, "mark")), "digest binary, bytes binary").distinct()
+    marks, repeated = settle(groups.where("group_size > 1").join(grouped.select("digest", "mark").distinct(), "digest").select("mark"))
+    texts = mapped(rows.select("text"), _copies(key_bitmap(marks, "mark", repeated)), "digest binary, bytes binary").distinct()
     mixed = texts.groupBy("digest").count().where("count > 1").limit(1).collect()
     if mixed:
         raise RuntimeError("two different texts share a digest")
