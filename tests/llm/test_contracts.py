@@ -8,7 +8,7 @@ import brute
 import numpy as np
 import pytest
 
-from layerkit.llm import language_id, mixing, packing, quality_model, quality_rules
+from layerkit.llm import language_id, mixing, packing, quality_model, quality_rules, secrets
 from layerkit.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -183,3 +183,33 @@ def test_grades_are_those_of_the_sum_of_weights(spark, folder):
         tails = [1 / (1 + math.exp(-(score - t))) for t in model.thresholds]
         assert abs(found[doc_id]["expected_grade"] - sum(tails)) < 1e-9 and abs(found[doc_id]["tail_prob"] - tails[-1]) < 1e-9
         assert found[doc_id]["kept"] == (bool(words) and tails[-1] >= quality_model.KEEP)
+
+
+LITERAL = "Zx81kkQ2mmPP09"
+
+
+@pytest.mark.parametrize("text, spans", [
+    (f'config["db_pwd"] = "{LITERAL}"', [LITERAL]), (f"environ['DB_PWD'] = '{LITERAL}'", [LITERAL]), (f'a["x"]["db_pwd"] = "{LITERAL}"', [LITERAL]),
+    (f'db_pwd = """{LITERAL}"""', [LITERAL]), (f"db_pwd = '''{LITERAL}'''", [LITERAL]), (f'db_pwd = b"{LITERAL}"', [LITERAL]), (f'db_pwd = f"{LITERAL}"', [LITERAL]),
+    (f"db_pwd = rb'{LITERAL}'", [LITERAL]), (f"const dbPwd = `{LITERAL}`;", [LITERAL]), (f'a, db_pwd = "x", "{LITERAL}"', [LITERAL]),
+    (f'db_pwd, a = "{LITERAL}", "Ab12Cd34Ef56"', [LITERAL]), (f"db_pwd: |\n  {LITERAL}\nport: 1\n", [LITERAL]), (f"auth:\n  db_pwd: >-\n    {LITERAL}\n  x: 1", [LITERAL]),
+    (f"db_pwd: |\n  {LITERAL}\n  Ab12Cd34Ef56\nport: 9", [LITERAL, "Ab12Cd34Ef56"]), (f"<pwd>{LITERAL}</pwd>", [LITERAL]), (f'<pwd id="1">{LITERAL}</pwd>', [LITERAL]),
+    (f'x = getenv("DB_PWD", "{LITERAL}")', [LITERAL]), (f'os.environ.get("DB_PWD", "{LITERAL}")', [LITERAL]), (f'db_pwd = getenv("X", "{LITERAL}")', [LITERAL]),
+    ('db_pwd = "Zx81kk" + "Q2mmPP09"', ["Zx81kk", "Q2mmPP09"]), ('db_pwd = "Zx81kk" "Q2mmPP09"', ["Zx81kk", "Q2mmPP09"]),
+    ('a = "Zx81kk"\nb = "Q2mmPP09"\ndb_pwd = a + b\n', ["Zx81kk", "Q2mmPP09"]), ('a = "Zx81kk"\ndb_pwd = a + "Q2mmPP09"', ["Zx81kk", "Q2mmPP09"]),
+    ('db_pwd = "Zx81kk" . $b', ["Zx81kk"]), ('db_pwd = ("Zx81kk" \\\n "Q2mmPP09")', []),
+    ("The pwd: everything12", []), ("auth: something else", []), ("my credential: Everything12 is lost", []), ("see the pwd: there1234 we go", []),
+    (f"  db_pwd: {LITERAL}  # note", [LITERAL]), (f"- db_pwd: {LITERAL}", [LITERAL]), (f'{{"db_pwd": "{LITERAL}"}}', [LITERAL]), (f"the pwd: '{LITERAL}'", [LITERAL]),
+    (f'<a>{LITERAL}</a>', []), (f'colour, shape = "x", "{LITERAL}"', []), (f'get("colour", "{LITERAL}")', []),
+])
+def test_lexer_reads_more_forms(text, spans):
+    assert [text[s.start : s.end] for s in secrets.lexed_spans(text)] == spans
+
+
+@pytest.mark.parametrize("text", ['"""' * 50_000, "a, " * 60_000 + "= ", '("a", ' * 60_000, "<a>" * 60_000, "a: |\n" * 50_000, '"a" + ' * 50_000, "x = a + " * 40_000, "word: " * 60_000, 'f("a", "b", ' * 40_000, "a." * 100_000 + "b: c "])
+def test_lexer_takes_linear_time(text):
+    import time
+
+    start = time.perf_counter()
+    secrets.lexed_spans(text)
+    assert time.perf_counter() - start < 5
