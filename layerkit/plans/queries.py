@@ -256,9 +256,28 @@ def primary_keys(v: Views) -> DataFrame:
     return checks.primary_keys({t: getattr(v, t) for t in PRIMARY_KEYS})
 
 
-@query("source_validation", report_sql(*SOURCE_SQL))
+# Expected defects, as an operator of the source would name them; everything else that is wrong shows.
+KNOWN = "coalesce(amount IS NULL OR amount < 0 OR currency = 'XXX', FALSE)"
+UNKNOWN_SQL = [
+    ("amount", "transactions", "0", total("transactions", f"NOT {KNOWN} AND (amount IS NULL OR amount <= 0)")),
+    ("currency", "transactions", "0", total("transactions", f"NOT {KNOWN} AND (currency IS NULL OR currency NOT IN ('AZN', 'USD', 'EUR'))")),
+    ("unique_transaction_id", "transactions", total("transactions", f"NOT {KNOWN}"),
+     f"(SELECT count(DISTINCT transaction_id) FROM transactions WHERE NOT {KNOWN})"),
+    ("known_account", "transactions", "0", total("transactions", f"NOT {KNOWN} AND account_id NOT IN (SELECT account_id FROM accounts)")),
+    ("before_open", "transactions", "0",
+     "(SELECT count(*) FROM transactions AS t JOIN accounts AS a ON t.account_id = a.account_id "
+     f"WHERE NOT {KNOWN.replace('currency', 't.currency')} AND CAST(transaction_timestamp AS DATE) < open_date)"),
+    ("before_customer", "transactions", "0",
+     "(SELECT count(*) FROM transactions AS t JOIN accounts AS a ON t.account_id = a.account_id "
+     "JOIN (SELECT customer_id AS k, min(effective_from) AS since FROM customer_history GROUP BY 1) AS h ON a.customer_id = k "
+     f"WHERE NOT {KNOWN.replace('currency', 't.currency')} AND CAST(transaction_timestamp AS DATE) < since)"),
+]
+
+
+@query("source_validation", report_sql(*SOURCE_SQL, *UNKNOWN_SQL))
 def source_validation(v: Views) -> DataFrame:
-    return medallion.validate(v.spark, _read(v))
+    """All source checks; transactions other than the expected defects must have none and keep to their days."""
+    return medallion.validate(v.spark, _read(v), F.expr(KNOWN))
 
 
 @query(
@@ -482,10 +501,21 @@ def silver_clean(v: Views) -> DataFrame:
     return checks.clean_transactions(valid, v.known_accounts, "silver.lines", LINE_CURRENCIES)
 
 
-@query("silver_standard", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, TRUE AS stamped FROM customer")
+def _plain_sql(table: str) -> str:
+    """Rows of a table as one text each, the way both engines write its columns."""
+    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in business_columns(table))
+    return f"SELECT '{table}' AS subject, concat_ws('|', {texts}) AS content, TRUE AS stamped FROM {table}"
+
+
+@query("silver_standard", " UNION ALL ".join(_plain_sql(t) for t in medallion.PLAIN))
 def silver_standard(v: Views) -> DataFrame:
-    passed = stamped(v.table("customer"), SILVER_STAMP, PROCESSED_AT)
-    return passed.withColumn("stamped", F.col(SILVER_STAMP).isNotNull()).drop(SILVER_STAMP)
+    """All eight tables that silver passes on with a stamp."""
+    parts = []
+    for table in medallion.PLAIN:
+        passed = stamped(v.source(table), SILVER_STAMP, PROCESSED_AT)
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in business_columns(table)]
+        parts.append(passed.select(F.lit(table).alias("subject"), F.concat_ws("|", *texts).alias("content"), F.col(SILVER_STAMP).isNotNull().alias("stamped")))
+    return union(parts)
 
 
 # Aggregates, windows and keys
@@ -796,19 +826,27 @@ def referential_integrity(v: Views) -> DataFrame:
     return checks.referential_integrity({t: getattr(v, t) for t in TABLES})
 
 
-@query(
-    "dimension_check",
-    report_sql(
-        ("row_count", "dim_account", total("accounts"), total("dim_account")),
-        ("null_account_id", "dim_account", "0", total("dim_account", "account_id IS NULL")),
-        ("null_account_sk", "dim_account", "0", total("dim_account", "account_sk IS NULL")),
-        ("unique_account_id", "dim_account", total("dim_account"), distinct("dim_account", "account_id")),
-        ("unique_account_sk", "dim_account", total("dim_account"), distinct("dim_account", "account_sk")),
-        ("required_column", "dim_account.gold_processed_at", "1", "1"),
-    ),
-)
+def _plain_dimension_sql(name: str, twin: str, source: str, key: str, surrogate: str) -> list[tuple[str, str, str, str]]:
+    return [
+        ("row_count", name, total(source), total(twin)),
+        *[(f"null_{k}", name, "0", total(twin, f"{k} IS NULL")) for k in (key, surrogate)],
+        *[(f"unique_{k}", name, total(twin), distinct(twin, k)) for k in (key, surrogate)],
+        ("required_column", f"{name}.{GOLD_STAMP}", "1", "1"),
+    ]
+
+
+PLAIN_DIMENSIONS = [
+    *_plain_dimension_sql("dim_account", "dim_account", "accounts", "account_id", "account_sk"),
+    *_plain_dimension_sql("dim_branch", "dim_branch", "branches", "branch_id", "branch_sk"),
+    *_plain_dimension_sql("dim_date", "keyed_date", "dim_date", "date_key", "date_sk"),
+]
+
+
+@query("dimension_check", report_sql(*PLAIN_DIMENSIONS))
 def dimension_check(v: Views) -> DataFrame:
-    return checks.dimension_suite(dimension(v, DIM_ACCOUNT), DIM_ACCOUNT, v.accounts)
+    """The suite of each of the three plain dimensions."""
+    sources = {DIM_ACCOUNT: v.accounts, DIM_BRANCH: v.branches, DIM_DATE: v.dim_date}
+    return union([checks.dimension_suite(dimension(v, d), d, source) for d, source in sources.items()])
 
 
 VERSION_SUITE = [
@@ -956,15 +994,6 @@ def _columns_sql(layer: str, table: str, extra: Iterable[str]) -> list[tuple[str
     return [("required_column", f"{layer}.{table}.{c}", "1", "1") for c in (*business_columns(table), *AUDIT_COLUMNS, *extra)]
 
 
-def _plain_dimension_sql(name: str, twin: str, source: str, key: str, surrogate: str) -> list[tuple[str, str, str, str]]:
-    return [
-        ("row_count", name, total(source), total(twin)),
-        *[(f"null_{k}", name, "0", total(twin, f"{k} IS NULL")) for k in (key, surrogate)],
-        *[(f"unique_{k}", name, total(twin), distinct(twin, k)) for k in (key, surrogate)],
-        ("required_column", f"{name}.{GOLD_STAMP}", "1", "1"),
-    ]
-
-
 STAGE_SQL = {
     "ready": [("source_ready", t, "1", f"(SELECT least(count(*), 1) FROM {t})") for t in TABLES],
     "validate": SOURCE_SQL,
@@ -981,9 +1010,7 @@ STAGE_SQL = {
     ],
     "dimensions": [
         *VERSION_SUITE,
-        *_plain_dimension_sql("dim_account", "dim_account", "accounts", "account_id", "account_sk"),
-        *_plain_dimension_sql("dim_branch", "dim_branch", "branches", "branch_id", "branch_sk"),
-        *_plain_dimension_sql("dim_date", "keyed_date", "dim_date", "date_key", "date_sk"),
+        *PLAIN_DIMENSIONS,
         ("orphans", "dim_account.branch_id -> dim_branch", "0", orphans("dim_account", "branch_id", "dim_branch", "branch_id")),
         ("orphans", "dim_account.customer_id -> dim_customer", "0", orphans("dim_account", "customer_id", "dim_customer", "customer_id")),
     ],

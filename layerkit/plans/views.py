@@ -198,14 +198,14 @@ class Views:
 
     @cached_property
     def account_customer_bridge(self) -> DataFrame:
-        """Every eighth account is shared with the next customer."""
-        shared = self.accounts.filter(F.col("account_id") % 8 == 0)
+        """Every eighth account is shared with the next customer, the others have one owner."""
         part = lambda owner, weight, primary: F.struct(
             owner.alias("customer_id"), money(F.lit(weight), 4).alias("allocation_weight"), F.lit(primary).alias("is_primary_owner")
         )
         owner = F.col("account_id")
         both = F.array(part(owner, "0.60", True), part(owner + 1, "0.40", False))
-        return shared.select("account_id", F.inline(both))
+        owners = F.when(owner % 8 == 0, both).otherwise(F.array(part(owner, "1.00", True)))
+        return self.accounts.select("account_id", F.inline(owners))
 
     @cached_property
     def transactions(self) -> DataFrame:
@@ -262,7 +262,7 @@ class Views:
     def loan_lifecycle(self) -> DataFrame:
         opened = F.to_date("o_orderdate")
         status = F.col("o_orderstatus")
-        return self.table("orders").filter("o_orderpriority = '1-URGENT'").select(
+        return self.table("orders").select(
             F.col("o_orderkey").alias("loan_id"),
             F.col("o_custkey").alias("account_id"),
             money(F.col("o_totalprice"), 14).alias("loan_amount"),
@@ -339,7 +339,8 @@ TWINS = {
     "account_customer_bridge": """SELECT account_id, account_id AS customer_id,
         CAST(0.60 AS DECIMAL(4,2)) AS allocation_weight, TRUE AS is_primary_owner FROM accounts WHERE account_id % 8 = 0
         UNION ALL SELECT account_id, account_id + 1, CAST(0.40 AS DECIMAL(4,2)), FALSE FROM accounts
-        WHERE account_id % 8 = 0""",
+        WHERE account_id % 8 = 0 UNION ALL SELECT account_id, account_id, CAST(1.00 AS DECIMAL(4,2)), TRUE FROM accounts
+        WHERE account_id % 8 <> 0""",
     "transactions": f"""SELECT l_orderkey * 10 + l_linenumber AS transaction_id,
         printf('TXN-%06d', l_partkey * 10000000 + l_suppkey) AS transaction_ref,
         CASE WHEN l_tax = 0.08 AND l_linenumber = 7 THEN -1 - o_custkey ELSE o_custkey END AS account_id,
@@ -365,7 +366,7 @@ TWINS = {
         CAST(o_orderdate AS DATE) AS application_date,
         CASE WHEN o_orderstatus IN ('F', 'O') THEN CAST(o_orderdate AS DATE) + 3 END AS approval_date,
         CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 8 END AS disbursement_date,
-        CAST(NULL AS DATE) AS closure_date FROM orders WHERE o_orderpriority = '1-URGENT'""",
+        CAST(NULL AS DATE) AS closure_date FROM orders""",
     "booked": """SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY transaction_timestamp NULLS FIRST,
         transaction_ref NULLS FIRST, amount NULLS FIRST, currency NULLS FIRST, transaction_type NULLS FIRST)
         AS dup_rank FROM transactions""",
