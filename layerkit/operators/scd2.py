@@ -83,22 +83,25 @@ def version_on(
     """Join each row to the version of its key that holds on ``day``.
 
     Rows of a key are compared with all its versions. When keys have many, set
-    ``bucket_days``: a version is repeated for every period it touches, the
-    period becomes part of the join key, and a row meets only the versions of
-    its own period. Hot keys then also spread over their periods.
+    ``bucket_days``: time is swept in periods of that length. A version belongs to
+    the period in which it starts, and versions still open where a period starts
+    are carried into it, if the key is asked for in that period at all. A row then
+    meets the versions of its own period, and hot keys spread over their periods.
+    Versions may overlap or leave gaps.
     """
     side = versions.select(F.col(key).alias("__key"), F.col(start).alias("__from"), F.col(end).alias("__to"), *take)
     if bucket_days is None:
         condition = df[key] == side["__key"]
         left = df
     else:
-        first, last = df.agg(F.min(day), F.max(day)).first()
-        period = lambda c: F.floor(F.unix_date(c) / F.lit(bucket_days))
-        until = F.least(F.col("__to"), F.lit(last))  # skips NULL, so an open end reads as the last day
-        # Both ends are held to the days asked for, whatever span a version has.
-        since = F.greatest(F.col("__from"), F.lit(first))
-        side = side.filter(since <= until).withColumn("__side", F.explode(F.sequence(period(since), period(until))))
+        period = lambda c: F.floor(F.unix_date(c) / F.lit(bucket_days)).cast("int")
         left = df.withColumn("__period", period(F.col(day)))
+        asked = left.select(F.col(key).alias("__asked"), "__period").where("__period IS NOT NULL").distinct()
+        begin = F.date_from_unix_date(F.col("__period") * bucket_days)
+        still_open = (F.col("__from") < begin) & (F.col("__to").isNull() | (F.col("__to") >= begin))
+        carried = asked.join(side, (F.col("__asked") == F.col("__key")) & still_open)
+        own = side.withColumn("__side", period(F.col("__from")))
+        side = own.unionByName(carried.withColumnRenamed("__period", "__side").drop("__asked"))
         condition = (left[key] == side["__key"]) & (left["__period"] == side["__side"])
     matched = left.join(side, condition & holds_on(left[day], side["__from"], side["__to"]), how)
     return matched.select(*[left[c] for c in df.columns], *take)

@@ -97,3 +97,37 @@ def test_all_lookups_agree_and_versions_are_contiguous(spark, by_key, asks):
     assert found(version_on(asked, versions, "id", "day", ["seg"])) == expected
     assert found(version_on(asked, versions, "id", "day", ["seg"], bucket_days=7)) == expected
     assert found(version_as_of(asked, raw, "id", "day", ["seg"])) == expected
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_overlapping_versions_and_gaps_in_swept_periods(spark, how):
+    """Every version that holds on a day is found once, those that began periods ago too; nothing is expanded."""
+    import random
+
+    draw = random.Random(7)
+    held = []
+    for key in (1, 2, 3):
+        for n in range(25):
+            first = draw.randrange(-200, 400)
+            held.append((key, days(first), draw.choice([None, days(first), days(first + 3), days(first + draw.randrange(0, 300))]), False, f"{key}-{n}"))
+    held += [(3, days(-5000), None, False, "old"), (3, days(-5000), days(-4990), False, "gone"), (None, days(0), None, False, "no key")]
+    versions = history(spark, held)
+    asks = [(draw.choice([1, 2, 3, 4, None]), draw.randrange(-250, 500), i) for i in range(120)]
+    asked = spark.createDataFrame([(k, days(n), i) for k, n, i in asks] + [(1, None, 999)], "id INT, day DATE, n INT")
+    expected = []
+    for k, n, i in asks:
+        match = [r[4] for r in held if k is not None and r[0] == k and r[1] <= days(n) and (r[2] is None or days(n) <= r[2])]
+        expected += [(i, seg) for seg in match] or ([(i, None)] if how == "left" else [])
+    expected += [(999, None)] if how == "left" else []
+    for bucket in (1, 31, 100_000):
+        found = version_on(asked, versions, "id", "day", ["seg"], how=how, bucket_days=bucket)
+        assert sorted(((r["n"], r["seg"]) for r in found.collect()), key=str) == sorted(expected, key=str)
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_versions_are_carried_only_where_they_are_asked_for(spark):
+    """A version open for a thousand periods meets the two that have rows."""
+    versions = history(spark, [(1, days(-30_000), None, True, "a")])
+    asked = spark.createDataFrame([(1, days(0), 1), (1, days(1), 2), (1, days(400), 3)], "id INT, day DATE, n INT")
+    found = version_on(asked, versions, "id", "day", ["seg"], bucket_days=31)
+    assert found.count() == 3
