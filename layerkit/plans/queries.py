@@ -59,6 +59,7 @@ from layerkit.schemas import (
 )
 from layerkit.session import concurrently, scratch_path
 from layerkit.sources.readers import read_csv, read_layer, source_ready
+from layerkit.sources.scratch import settle
 from layerkit.sources.writers import write_csv, write_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -751,12 +752,18 @@ def orphans_anti(v: Views) -> DataFrame:
     )
 
 
+def judged_and_dimensions(v: Views) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Judged transactions and the stored dimensions, which do not need each other."""
+    judge = lambda: evaluate(v.named_transactions, medallion.transaction_rules(v.accounts, RUN))
+    store = lambda: {name: settle(df)[0] for name, df in dimensions(v).items()}
+    judged_rows, dims = concurrently(lambda work: work(), [judge, store])
+    return judged_rows, dims
+
+
 def fact(v: Views) -> DataFrame:
     """Valid order lines with the surrogate keys of their day."""
-    accounts = v.accounts
-    evaluated = evaluate(v.named_transactions, medallion.transaction_rules(accounts, RUN))
+    evaluated, dims = judged_and_dimensions(v)
     valid, _ = route(evaluated, RUN.at)
-    dims = dimensions(v)
     resolved = resolve_transactions(valid, dims["dim_account"], dims["dim_date"], dims["dim_branch"], dims["dim_customer"])
     return build_fact(resolved, RUN.at).drop(GOLD_STAMP)
 
@@ -872,11 +879,7 @@ def scd2_suite(v: Views) -> DataFrame:
 def stored_gold(v: Views) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
     """Fact, its source and the dimensions, written and read back."""
     layout = Layout(scratch_path(v.spark, "gold"))
-    dims = {}
-    for name, df in dimensions(v).items():
-        write_layer(df, layout.dimension(name))
-        dims[name] = v.spark.read.parquet(layout.dimension(name))
-    evaluated = evaluate(v.named_transactions, medallion.transaction_rules(v.accounts, RUN))
+    evaluated, dims = judged_and_dimensions(v)
     write_layer(route(evaluated, RUN.at)[0], layout.silver("transactions"))
     source = v.spark.read.parquet(layout.silver("transactions"))
     resolved = resolve_transactions(source, dims["dim_account"], dims["dim_date"], dims["dim_branch"], dims["dim_customer"])

@@ -28,6 +28,9 @@ CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum":
 
 CONCURRENT_JOBS = 4
 
+# Names under which this application has put bucketed scratch tables into the catalogue.
+catalogued: list[str] = []
+
 
 def build_session(app_name: str, log_level: str = "WARN", **conf: str) -> SparkSession:
     """Session with the settings above; the master comes from spark-submit."""
@@ -63,10 +66,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete this application's own folder below the checkpoint folder.
+    """Delete this application's own folder below the checkpoint folder, and its names in the catalogue.
 
     Call it when no result that reads intermediates is needed any more.
     """
+    while catalogued:
+        spark.sql(f"DROP TABLE IF EXISTS {catalogued.pop()}")
     folder = spark.sparkContext.getCheckpointDir()
     if folder is not None:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, DecimalType, MapType, StringType, StructType, VarcharType
 
-from layerkit.session import scratch_path
+from layerkit.session import catalogued, scratch_path
 from layerkit.sources.writers import write_layer
 
 # What a task can hold of a broadcast side, as rows of the join's hash table.
@@ -58,6 +58,7 @@ def settle_by(df: DataFrame, column: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "bucketed")
     name = f"layerkit_{path.rsplit('-', 1)[1]}"
+    catalogued.append(name)
     df.write.mode("overwrite").bucketBy(buckets, column).option("path", path).format("parquet").saveAsTable(name)
     return spark.read.table(name)
 
