@@ -14,7 +14,7 @@ documents. The field learns how far each word is to be trusted and where.
 
 Forward and backward sums give each token its chance of a tag, and each
 sentence its chance of having no toxic token. A document's hazard adds up the
-logarithms of the latter; hazard and the surest token give the score by a
+logarithms of the latter and is reported; its surest token gives the score by a
 logistic curve fitted on documents. Runs of tokens that are more likely in a span
 than not are the offending offsets.
 
@@ -284,21 +284,25 @@ def fit_field(features: np.ndarray, opens: np.ndarray, tags: np.ndarray, weight:
 @dataclass(frozen=True)
 class Model:
     field: Field
-    curve: np.ndarray  # constant, hazard and surest token
+    curve: np.ndarray  # constant, and slope over the surest token
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(_inputs(evidence) @ self.curve, -30, 30)))
 
 
 def _inputs(evidence: np.ndarray) -> np.ndarray:
-    """Logarithms of hazard and surest chance, with a constant."""
-    return np.concatenate([np.ones((len(evidence), 1)), np.log(evidence + 1e-6)], axis=1)
+    """A constant, and the odds of the surest token by their logarithm.
+
+    Hazards add up over a long text without any sure token, so they say less of a document.
+    """
+    surest = np.clip(evidence[:, 1], 1e-6, 1 - 1e-6)
+    return np.stack([np.ones(len(evidence)), np.log(surest / (1 - surest))], axis=1)
 
 
 def fit_curve(evidence: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps with a small ridge."""
-    inputs, curve = _inputs(evidence), np.zeros(3)
-    ridge = np.diag([1e-6, 1e-3, 1e-3]) * max(len(toxic), 1)
+    inputs, curve = _inputs(evidence), np.zeros(2)
+    ridge = np.diag([1e-6, 1e-3]) * max(len(toxic), 1)
     for _ in range(30):
         chance = 1 / (1 + np.exp(-np.clip(inputs @ curve, -30, 30)))
         slope = inputs.T @ (toxic - chance) - ridge @ curve
