@@ -6,7 +6,9 @@ collapses before it is shuffled. The wide rows are then marked by joining that
 normally small set, which is broadcast when it measures small. Of a larger set a
 filter is broadcast: only the keys and numbers of rows that may offend are
 shuffled, and what they find comes back to the wide rows as one broadcast bit a
-row. Where even the bits are too many, rows that may offend are shuffled whole.
+row. Copies are shuffled once, to find the first of each key that the filter
+lets pass: the firsts are marked, and all others that pass are copies. Where
+even the bits are too many, rows that may offend are shuffled whole.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ class Offenders:
     side: Side
     pairs: tuple[tuple[str, str], ...]  # (column of the rows, column of the keys)
     filter: Filter | None = None  # of the keys, where finding them made one
+    first: str | None = None  # the first row of each key; with a filter, of each key that it lets pass
 
     def join(self, df: DataFrame) -> DataFrame:
         """Every row, next to its offending key if it has one; NULL equals NULL."""
@@ -46,13 +49,34 @@ class Offenders:
         made = self.filter or Filter.of(self.side.df, [theirs for _, theirs in self.pairs], self.side.rows)
         return made.flag(df, [mine for mine, _ in self.pairs], name)
 
-    def marks(self, df: DataFrame, rule: Rule, tag: str) -> Marks | None:
+    def marks(self, df: DataFrame, rule: Rule, tag: str) -> Marks | Copies | None:
         """Exactly the rows that break the rule, by number; only key columns and numbers are shuffled."""
+        if self.first is not None and self.filter is not None:
+            firsts = Marks.of(self.side.df.select(F.col(self.first).alias(ROW_ID)))
+            return None if firsts is None else Copies(self, firsts)
         narrow = df.select(*dict.fromkeys(mine for mine, _ in self.pairs), ROW_ID)
         suspects = self.flag(narrow, f"{tag}_maybe").filter(f"{tag}_maybe")
         return Marks.of(self.join(suspects).filter(rule.broken(tag)).select(ROW_ID))
 
 
+@dataclass(frozen=True)
+class Copies:
+    """All rows that the filter of repeated keys lets pass, but the first of each key.
+
+    A key that comes once and passes all the same is its own first row, so this
+    is exact, and no row meets its key again.
+    """
+
+    offenders: Offenders
+    firsts: Marks
+
+    def flag(self, df: DataFrame, name: str) -> DataFrame:
+        """``df``, which has row ids, with a boolean: whether a row is such a copy."""
+        maybe, kept = f"{name}_maybe", f"{name}_kept"
+        told = self.firsts.flag(self.offenders.flag(df, maybe), kept)
+        return told.select(*df.columns, (F.col(maybe) & ~F.col(kept)).alias(name))
+
+
 @dataclass(frozen=True)
 class RowRule:
     """Breaks when ``bad`` is true; a NULL result does not break it."""
@@ -98,10 +122,11 @@ class FirstCopyRule:
                 same = same & F.col(n).eqNullSafe(F.col(a))
             rows = rows.join(repeated.df, same, "left_semi")
         else:
-            # A key that comes once and passes all the same is left out by its count.
+            # A key that comes once and passes all the same is its own first row, which breaks nothing.
             rows = made.flag(rows, names, "maybe").filter("maybe")
-        first = rows.groupBy(*names).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        return Offenders(sized(first.select(*names, F.col("first.row").alias(f"{tag}_row"))), tuple(zip(self.keys, names)), made)
+        at = f"{tag}_row"
+        first = rows.groupBy(*names).agg(F.min("at").alias("first")).select(*names, F.col("first.row").alias(at))
+        return Offenders(sized(first), tuple(zip(self.keys, names)), made, at)
 
     def broken(self, tag: str) -> Column:
         return F.col(f"{tag}_row") != F.col(ROW_ID)
@@ -135,7 +160,7 @@ def judged(
     found: Sequence[Offenders | None],
     into: str,
     separator: str,
-    marks: Mapping[int, Marks] | None = None,
+    marks: Mapping[int, Marks | Copies] | None = None,
 ) -> tuple[DataFrame, bool]:
     """Rows with the reasons of their broken rules, and whether any row is shuffled for it.
 
@@ -193,6 +218,13 @@ def evaluate(
     break its rule too many to be marked, the result is written, so that valid and
     quarantined rows do not each repeat the joins.
     """
+    return evaluated(df, rules, into, separator, from_files)[0]
+
+
+def evaluated(
+    df: DataFrame, rules: Sequence[Rule], into: str = REASON_COLUMN, separator: str = REASON_SEPARATOR, from_files: bool = False
+) -> tuple[DataFrame, bool]:
+    """The same, and whether rows were moved: if not, each is judged in the task that scans it."""
     work = df
     if ROW_ID in df.columns:
         work = in_place(df)
@@ -204,7 +236,7 @@ def evaluate(
     made = concurrently(lambda p: found[p].marks(source, rules[p], f"__rule{p}"), large)
     marks = {p: rows for p, rows in zip(large, made) if rows is not None}
     result, shuffled = judged(work, rules, found, into, separator, marks)
-    return settle(result)[0] if shuffled else result
+    return (settle(result)[0] if shuffled else result), shuffled or work is not df
 
 
 def not_in(column: str, allowed: Sequence[object]) -> Column:
