@@ -14,6 +14,7 @@ from layerkit.operators.quarantine import reasons_by_id
 from layerkit.operators.reports import CheckFailed, enforce, static_report
 from layerkit.plans import medallion
 from layerkit.schemas import DUPLICATE, INVALID_CURRENCY, NEGATIVE_AMOUNT, TABLES, business_columns, contract
+from layerkit.sources import writers
 from layerkit.sources.readers import read_csv, source_ready
 from layerkit.sources.writers import write_csv, write_layer
 
@@ -59,6 +60,18 @@ def test_defects_end_in_quarantine_with_their_reasons(spark, lake):
     assert {"data_quality_reason", "quarantined_at"} <= set(aside.columns)
 
 
+def test_silver_rows_stay_in_the_tasks_that_scan_bronze(spark, tmp_path, monkeypatch):
+    layout, moved = Layout(str(tmp_path)), []
+    enforce(medallion.bronze(spark, layout, bank.reader, RUN))
+    clustered = writers.clustered
+    monkeypatch.setattr(writers, "clustered", lambda df, by: moved.append(df.columns) or clustered(df, by))
+    enforce(medallion.silver(spark, layout, RUN))
+    assert moved == []
+    stored = spark.read.parquet(layout.silver("transactions"))
+    assert sorted(r["transaction_id"] for r in stored.collect()) == [1, 2, 3, 4, 5]
+    assert "transaction_year" in stored.columns and "__row" not in stored.columns
+
+
 def test_expected_reasons_are_reported(spark, lake):
     aside = spark.read.parquet(lake[0].quarantine("transactions"))
     wanted = {4: [DUPLICATE], 8: [NEGATIVE_AMOUNT, INVALID_CURRENCY], 6: [DUPLICATE]}
