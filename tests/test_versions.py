@@ -125,6 +125,22 @@ def test_overlapping_versions_and_gaps_in_swept_periods(spark, how):
         assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_grouping_by_key_and_period_needs_no_further_shuffle(spark):
+    versions = spark.sql("SELECT id % 5 AS k, date_add(DATE'2024-01-01', cast(id AS INT) * 3) AS effective_from, CAST(NULL AS DATE) AS effective_to, id FROM range(40)")
+    asks = spark.sql("SELECT if(id % 7 = 0, NULL, id % 6) AS k, if(id % 9 = 0, NULL, date_add(DATE'2024-01-01', cast(id AS INT))) AS day, id AS m FROM range(100)")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = version_on(asks, versions, "k", "day", ["id"], how="left", bucket_days=31, period_as="period")
+        counted = found.groupBy("k", "period", "day", "m").agg(F.count("id").alias("n"))
+        exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert exchanges(counted) == exchanges(found)
+        plain = version_on(asks, versions, "k", "day", ["id"], how="left").groupBy("k", "day", "m").agg(F.count("id").alias("n"))
+        assert sorted(counted.drop("period").collect(), key=str) == sorted(plain.collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_versions_are_carried_only_where_they_are_asked_for(spark):
     """A version open for a thousand periods meets the two that have rows."""
     versions = history(spark, [(1, days(-30_000), None, True, "a")])
