@@ -11,12 +11,16 @@ approximate: each step only leaves out pairs that cannot link.
    edge of two bands meet under a scheme made for that edge. Shingles that a
    sample finds common stay out of the parts, so a passage that many texts share
    does not make them meet; they count in sizes and similarities as all others.
-   Keys are counted alone first. Only of shared keys is it asked whose they are,
-   by reading the texts once more: no table holds all keys.
+   Keys are counted alone first, packed into four bytes and the number of the
+   part that counts them. Only of shared keys is it asked whose they are, by
+   reading the texts once more: no table holds all keys.
 3. Keys that two classes share tie them into candidate groups. Only classes in
    such a group are read again, each once. A group is cut into tiles of bounded
    size: by size band, then by salt, and blocks of neighbouring bands meet in
-   pairs, so a group of any size spreads over many tasks.
+   pairs, so a group of any size spreads over many tasks. Where chance ties many
+   different texts into one group, its members would travel to ever more tiles;
+   they then meet by shared key, each key that the same members share but once.
+   Of both ways a group takes the one that moves less.
 4. In a tile, hashed bitmaps bound the overlap from above: a bit that only one
    set has proves a shingle that the other lacks. What passes is intersected
    exactly on sorted arrays. Sets already tied together are not compared again,
@@ -45,12 +49,20 @@ from pyspark.sql import functions as F
 from layerkit.llm.common import components, key_bitmap, mapped, numbered, small_batches, table, without_rows
 from layerkit.llm.shingles import mix, shingle_sets
 from layerkit.operators.rowid import in_place
+from layerkit.session import relieve
 from layerkit.sources.scratch import settle
 
 # A tile's members weigh their shingles, 128 at least: 4,096 members or 4 MB of hashes.
 TILE_WEIGHT = 1 << 19
 MEMBER_WEIGHT = 128
 BATCH_KEYS = 1 << 18
+# Keys are counted in parts of about a million, 64 parts at least: with four bytes more a key counts
+# as shared by chance once in some thousands, and is then found to have one owner.
+PART_KEYS = 1 << 20
+KEYS_A_TEXT = 256
+LEAST_PARTS, MOST_PARTS = 1 << 6, 1 << 16
+# What the second bit of a shared key drops of it.
+_SECOND = 10
 # A passage in about one text of 3,000 or more counts as common.
 SAMPLE_TEXTS = 10_000
 COMMON_TEXTS = 3
@@ -205,35 +217,91 @@ def _hits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _keys(marks: bytes, rule: Similarity, common: np.ndarray, shared: bytes | None = None):
-    """Keys of the rows that perhaps stand for a class.
+def count_parts(classes: int) -> int:
+    """In how many parts the keys of so many texts are counted: a power of two."""
+    return min(MOST_PARTS, max(LEAST_PARTS, 1 << (classes * KEYS_A_TEXT // PART_KEYS).bit_length()))
 
-    With a bitmap of ``shared`` keys, rows ``(id, key)`` whose key is perhaps one of them.
-    """
+
+def packed_keys(keys: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    """Keys by part, four bytes each; more than two of a kind say no more than two."""
+    shift = np.uint64(parts.bit_length() - 1)
+    rest = (keys >> shift) & np.uint64(0xFFFFFFFF)
+    placed = np.sort(((keys & np.uint64(parts - 1)) << np.uint64(32)) | rest)
+    keep = np.ones(len(placed), bool)
+    keep[2:] = placed[2:] != placed[:-2]
+    placed = placed[keep]
+    edges = np.searchsorted(placed, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
+    low = placed.astype(np.uint32)
+    for part in np.flatnonzero(edges[1:] > edges[:-1]):
+        yield int(part), low[edges[part] : edges[part + 1]].tobytes()
+
+
+def repeated_keys(part: int, packed: list[bytes], parts: int) -> np.ndarray:
+    """Keys of a part that come twice or more, cut to the bits that were packed."""
+    rest = np.sort(np.concatenate([np.frombuffer(p, np.uint32) for p in packed]))
+    found = np.unique(rest[1:][rest[1:] == rest[:-1]]).astype(np.int64)
+    return found << np.int64(parts.bit_length() - 1) | np.int64(part)
+
+
+def _repeated(parts: int):
+    def find(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"key": repeated_keys(int(rows["part"].iloc[0]), list(rows["keys"]), parts)})
+
+    return find
+
+
+def _made_keys(batches: Iterator[pa.RecordBatch], marks: bytes, rule: Similarity, common: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``(id, keys)`` of the rows that perhaps stand for a class."""
+    rows = np.frombuffer(marks, np.uint8)
+    for batch in batches:
+        batch = batch.filter(pa.array(_hits(rows, batch.column("mark").to_numpy())))
+        for _, found in shingle_sets(batch.column("text"), rule.width):
+            yield _digest(found), set_keys(found, rule, common)
+
+
+def _packer(marks: bytes, rule: Similarity, common: np.ndarray, parts: int):
+    """Rows ``(part, keys)`` with the keys of all classes."""
+    def batch_of(keys: list[np.ndarray]) -> pa.RecordBatch:
+        rows = list(packed_keys(np.concatenate(keys), parts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part for part, _ in rows], pa.int32()), pa.array([packed for _, packed in rows], pa.binary())], names=["part", "keys"]
+        )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, waiting = [], 0
+        for _, made in _made_keys(batches, marks, rule, common):
+            keys.append(made)
+            waiting += len(made)
+            if waiting >= PART_KEYS:
+                yield batch_of(keys)
+                keys, waiting = [], 0
+        if waiting:
+            yield batch_of(keys)
+
+    return read
+
+
+def _owners(marks: bytes, rule: Similarity, common: np.ndarray, shared: bytes, parts: int):
+    """Rows ``(id, key)`` of the keys that are perhaps shared."""
     def batch_of(ids: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
-        columns = {"id": np.concatenate(ids), "key": np.concatenate(keys)}
-        if shared is None:
-            del columns["id"]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys))], names=["id", "key"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = np.frombuffer(marks, np.uint8)
-        held = None if shared is None else np.frombuffer(shared, np.uint8)
-        for batch in batches:
-            batch = batch.filter(pa.array(_hits(rows, batch.column("mark").to_numpy())))
-            ids, keys, waiting = [], [], 0
-            for _, found in shingle_sets(batch.column("text"), rule.width):
-                made = set_keys(found, rule, common).view(np.int64)
-                if held is not None:
-                    made = made[_hits(held, made)]
-                keys.append(made)
-                ids.append(np.full(len(made), _digest(found), np.int64))
-                waiting += len(made)
-                if waiting >= BATCH_KEYS:
-                    yield batch_of(ids, keys)
-                    ids, keys, waiting = [], [], 0
-            if waiting:
+        held = np.frombuffer(shared, np.uint8)
+        packed = np.int64((parts << 32) - 1)
+        ids, keys, waiting = [], [], 0
+        for name, made in _made_keys(batches, marks, rule, common):
+            made = made.view(np.int64)
+            cut = made & packed
+            made = made[_hits(held, cut) & _hits(held, cut >> np.int64(_SECOND))]
+            keys.append(made)
+            ids.append(np.full(len(made), name, np.int64))
+            waiting += len(made)
+            if waiting >= BATCH_KEYS:
                 yield batch_of(ids, keys)
+                ids, keys, waiting = [], [], 0
+        if waiting:
+            yield batch_of(ids, keys)
 
     return read
 
@@ -306,12 +374,45 @@ def _linker(rule: Similarity):
     return link
 
 
+def _weight() -> Column:
+    return F.greatest("size", F.lit(MEMBER_WEIGHT))
+
+
+def _by_key(wanted: DataFrame, members: DataFrame, rule: Similarity) -> DataFrame | None:
+    """``(id, key)`` of members whose groups move less if they meet by key; None if no group does.
+
+    Every pair that can link shares a key, so no link is lost. Keys with the
+    same members are one, told by the 64-bit hashes of these.
+    """
+    heavy = wanted.groupBy("root").agg(F.sum(_weight()).alias("whole")).where(F.col("whole") > TILE_WEIGHT)
+    heavy, some = settle(heavy.select("root"))
+    if not some:
+        return None
+    inside, _ = settle(wanted.join(heavy, "root", "left_semi").select("id", "size", "root"))
+    keyed, _ = settle(members.join(inside, "id").select("id", "key", "root", _weight().alias("weight")).distinct())
+    keys = keyed.groupBy("root", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"),
+        F.bit_xor(F.xxhash64("id")).alias("who"), F.sum("weight").alias("weight"),
+    )
+    keys, _ = settle(keys.where("n > 1").groupBy("root", "n", "low", "high", "who").agg(F.min("key").alias("key"), F.first("weight").alias("weight")))
+    # Weight times the tiles it travels to; a heavy key is cut into salts itself, about two for each tile it fills.
+    salts = F.when(F.col("weight") <= TILE_WEIGHT, 1).otherwise(F.ceil(F.col("weight") * 2 / TILE_WEIGHT))
+    keyed_cost = keys.groupBy("root").agg(F.sum(F.col("weight") * salts).alias("keyed"))
+    tiles = _tiles(inside, rule).join(inside.select("id", "size"), "id")
+    tiled_cost = tiles.groupBy("root").agg(F.sum(_weight()).alias("tiled"))
+    chosen, some = settle(tiled_cost.join(keyed_cost, "root").where("keyed < tiled").select("root"))
+    if not some:
+        return None
+    return keyed.join(keys.join(chosen, "root", "left_semi").select("root", "key"), ["root", "key"], "left_semi").select("id", "key", "root")
+
+
 def _tiles(members: DataFrame, rule: Similarity) -> DataFrame:
-    """``(id, root, tile, side)``: the tiles in which each member of a group meets others.
+    """``(id, ..., root, tile, side)``: the tiles in which each member of a group meets others.
 
-    ``members`` has one row ``(id, size, root)`` per class.
+    ``members`` has one row ``(id, size, root)`` per class and group, with any further columns.
     """
-    weight = F.greatest("size", F.lit(MEMBER_WEIGHT))
+    kept = [c for c in members.columns if c != "size"]
+    weight = _weight()
     # A little wider than the similarity, so rounding cannot part neighbours.
     band = F.floor(F.log("size") / math.log(1 / (rule.ratio - 0.01))).cast("int")
     members = members.withColumn("band", band)
@@ -353,7 +454,7 @@ def _tiles(members: DataFrame, rule: Similarity) -> DataFrame:
     zero = F.lit(0)
     single = F.array(F.struct(zero.alias("band"), zero.alias("across"), zero.alias("first"), zero.alias("second"), F.lit(2).alias("side")))
     tiles = F.when(F.col("whole") <= TILE_WEIGHT, single).otherwise(F.concat(own, up, down))
-    return placed.select("id", "root", F.inline(tiles))
+    return placed.select(*kept, F.inline(tiles))
 
 
 def similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
@@ -379,21 +480,31 @@ def _similar_classes(docs: DataFrame, rule: Similarity) -> DataFrame:
     marks = key_bitmap(classes.select(F.xxhash64("row.file", "row.at").alias("mark")), "mark", number)
     common = common_shingles(rows, rule.width)
     texts = rows.select("file", "at", mark, "text")
-    counted = mapped(texts.select("mark", "text"), _keys(marks, rule, common), "key long").groupBy("key").count()
-    shared, some = settle(counted.where("count > 1").select("key"))
-    held = mapped(texts.select("mark", "text"), _keys(marks, rule, common, key_bitmap(shared, "key", some)), "id long, key long")
-    members, _ = settle(held.join(shared, "key", "left_semi").distinct())
+    parts = count_parts(number)
+    packed = mapped(texts.select("mark", "text"), _packer(marks, rule, common, parts), "part int, keys binary")
+    shared, some = settle(packed.groupBy("part").applyInPandas(_repeated(parts), "key long"))
+    relieve(docs.sparkSession, always=True)
+    both = shared.select(F.explode(F.array("key", F.shiftright("key", _SECOND))).alias("key"))
+    owners = _owners(marks, rule, common, key_bitmap(both, "key", some), parts)
+    members, _ = settle(mapped(texts.select("mark", "text"), owners, "id long, key long"))
     ends = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     near = members.join(ends, "key").select(F.col("id").alias("a"), F.col("low").alias("b"))
     groups = components(near).select(F.col("node").alias("id"), "root")
 
     wanted, some = settle(classes.join(groups, "id").select("id", "size", "root", "row.file", "row.at"))
+    grouped = wanted
+    if (keyed := _by_key(wanted, members, rule)) is not None:
+        chosen = keyed.select("root").distinct()
+        by_key = keyed.select("id", "key").join(wanted.drop("root"), "id").withColumnRenamed("key", "root")
+        grouped = wanted.join(chosen, "root", "left_anti").unionByName(by_key)
+    placed, _ = settle(_tiles(grouped, rule))
+    relieve(docs.sparkSession, always=True)
     bits = key_bitmap(wanted.select(mark), "mark", some)
     read = mapped(texts, _sets(bits, rule.width), "file long, at long, hashes binary")
-    sets, _ = settle(read.join(wanted, ["file", "at"]).select("id", "hashes"))
-    placed = _tiles(wanted.select("id", "size", "root"), rule).join(sets, "id")
-    links = placed.groupBy("root", "band", "across", "first", "second").applyInPandas(_linker(rule), "a long, b long")
+    links = read.join(placed, ["file", "at"]).drop("file", "at")
+    links = links.groupBy("root", "band", "across", "first", "second").applyInPandas(_linker(rule), "a long, b long")
     tied = components(links).select(F.col("node").alias("id"), "root")
+    relieve(docs.sparkSession, always=True)
 
     named = classes.select("id", "least").join(tied, "id", "left").withColumn("root", F.coalesce("root", "id"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))

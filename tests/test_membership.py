@@ -118,3 +118,30 @@ def test_a_checked_lookup_broadcasts_by_bytes(spark, folder):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert ["BroadcastHashJoin" in p for p in plans] == [False, True]
+
+
+def test_blocks_are_broadcast_in_groups(spark):
+    """The join's hash table has a row for each 128 blocks; one for each block would be five times their words."""
+    keys = spark.range(40_000).toDF("k")
+    made = Filter.of(keys, ["k"], 40_000)
+    assert made.count == 2500
+    words = [r["__words"] for r in made.groups.collect()]
+    assert len(words) == 20 and {len(w) for w in words} == {128 * membership.WORDS}
+    assert sum(bin(w & (2**64 - 1)).count("1") for group in words for w in group) > 100_000
+
+
+def test_the_index_of_a_broadcast_table_counts(spark, monkeypatch):
+    """A number takes 40 bytes as a row and more than a hundred in the table that the driver builds."""
+    monkeypatch.setattr(scratch.sized, "__defaults__", (1_000_000,))
+    assert sized(spark.range(5_000)).small and not sized(spark.range(20_000)).small
+
+
+def test_keys_without_null_are_joined_by_plain_equality(spark, payments):
+    rows, rules = payments
+    work = with_row_id(rows, from_files=True).select("id", F.when(F.col("id") % 4 > 0, F.col("account")).alias("account"))
+    found = rules[2].find(work, "__rule2")
+    plan = found.join(work)._jdf.queryExecution().analyzed().toString()
+    assert "<=>" not in plan
+    broken = found.join(work).filter(rules[2].broken("__rule2"))
+    assert broken.filter("account IS NULL OR account % 10 <> 3").count() == 0
+    assert broken.count() == work.filter("account % 10 = 3").count()
